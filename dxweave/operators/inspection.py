@@ -143,7 +143,7 @@ def conflict_flags(pairs: DataFrame) -> DataFrame:
     )
 
 
-def asked_pairs(pairs: DataFrame, mode: str = "asof", chunk_records: int = 1 << 16) -> DataFrame:
+def asked_pairs(pairs: DataFrame, mode: str = "asof", chunk_records: int = 1 << 20) -> DataFrame:
     """Pairs without a usable code and the code recommended for them.
 
     ``asof`` looks at earlier pairs only; ``global`` at the whole input, which is cheaper.
@@ -169,7 +169,7 @@ class Inspection:
     template: DataFrame
 
 
-def all_flags(cells: DataFrame, mode: str = "asof", chunk_records: int = 1 << 16) -> DataFrame:
+def all_flags(cells: DataFrame, mode: str = "asof", chunk_records: int = 1 << 20) -> DataFrame:
     """Every flag of the input with the columns that order them."""
     annotated = P.annotate_cells(cells)
     pairs = P.cell_pairs(annotated)
@@ -188,11 +188,8 @@ def flag_summary(flags: DataFrame) -> DataFrame:
     return flags.groupBy("issue_type").agg(F.count("*").alias("n_flags"))
 
 
-def rule_template(flags: DataFrame, placeholder: bool = True) -> DataFrame:
-    """A repair rule per flagged (term, code), taken from its first flag.
-
-    With ``placeholder`` an empty template gets one example row.
-    """
+def rule_template(flags: DataFrame) -> DataFrame:
+    """A repair rule per flagged (term, code), taken from its first flag."""
     kinds = ("ERROR_CODE", "EMPTY_OR_NONE_CODE", "TERM_MULTI_CODE")
     term = F.when(F.col("normalized_term") != "", F.col("normalized_term")).otherwise(F.col("term_value"))
     first = F.struct(*FLAG_ORDER, "issue_type", F.coalesce("recommended_code", F.lit("")).alias("code"))
@@ -203,7 +200,7 @@ def rule_template(flags: DataFrame, placeholder: bool = True) -> DataFrame:
         .groupBy("term_keyword", F.col("code_value").alias("wrong_code"))
         .agg(F.min(first).alias("f"))
     )
-    rules = chosen.select(
+    return chosen.select(
         F.lit("Y").alias("enabled"),
         F.lit("exact").alias("term_match_mode"),
         "term_keyword",
@@ -212,19 +209,20 @@ def rule_template(flags: DataFrame, placeholder: bool = True) -> DataFrame:
         F.lit("ALL").alias("column_scope"),
         F.col("f.issue_type").alias("note"),
     )
-    if not placeholder:
-        return rules
-    keyword, wrong, correct, note = V.TEMPLATE_PLACEHOLDER
-    example = flags.sparkSession.range(1).select(
-        F.lit("Y").alias("enabled"), F.lit("exact").alias("term_match_mode"),
-        F.lit(keyword).alias("term_keyword"), F.lit(wrong).alias("wrong_code"),
-        F.lit(correct).alias("correct_code"), F.lit("ALL").alias("column_scope"),
-        F.lit(note).alias("note"),
-    )
-    return rules.unionByName(example.where(~chosen.exists()))
 
 
-def inspect(cells: DataFrame, mode: str = "asof", chunk_records: int = 1 << 16) -> Inspection:
+def write_template(template: DataFrame, path: str) -> None:
+    """Write the rules for editing; a template without a rule gets one example row."""
+    template.write.mode("errorifexists").option("header", True).csv(path)
+    spark = template.sparkSession
+    if spark.read.schema(template.schema).option("header", True).csv(path).isEmpty():
+        keyword, wrong, correct, note = V.TEMPLATE_PLACEHOLDER
+        row = ("Y", "exact", keyword, wrong, correct, "ALL", note)
+        example = spark.createDataFrame([row], template.schema)
+        example.write.mode("append").option("header", True).csv(path)
+
+
+def inspect(cells: DataFrame, mode: str = "asof", chunk_records: int = 1 << 20) -> Inspection:
     """The whole inspection of a pair-cell relation (``schema.pair_cells``)."""
     flags = all_flags(cells, mode, chunk_records)
     pairs = P.cell_pairs(P.annotate_cells(cells))

@@ -188,83 +188,71 @@ def global_recommendation(pairs: DataFrame) -> DataFrame:
 # -- the most common code so far ----------------------------------------------
 
 
-def running_recommendation(pairs: DataFrame, chunk_records: int = 1 << 16) -> DataFrame:
+def running_recommendation(pairs: DataFrame, chunk_records: int = 1 << 20) -> DataFrame:
     """Adds to each pair without a usable code the most common usable code of the same
     term among *earlier* pairs and its count; ``("", 0)`` when there is none.
 
     One window per term would put a frequent term into a single task.  Records are cut
-    into chunks of consecutive ids instead.  Counts per (term, chunk, code), which are
-    small, carry the past of every chunk; only the pairs inside a (term, chunk) that asks
-    for a recommendation are sorted, and that group is bounded by the chunk size.
+    into chunks of consecutive ids instead.  A first pass counts per (term, chunk, code),
+    combined before the shuffle; running totals over those counts give what each chunk
+    starts from.  The second pass sorts pairs within (term, chunk), a group bounded by
+    the chunk size, behind the rows that carry the past.
     """
-    chunk = F.floor(F.col("record_id") / chunk_records)
-    judged = pairs.filter(F.col("reason").isNull()).withColumn("chunk", chunk)
-    asking = judged.filter(~X.is_usable_code(F.col("code")))
-    usable = judged.filter(X.is_usable_code(F.col("code")))
-    asked = asking.select("norm", "chunk").distinct()
-
-    # The past of a code within its term: how often, and where first.
-    counts = usable.groupBy("norm", "chunk", "code").agg(
-        F.count("*").alias("here"), F.min(place()).alias("first_here")
+    judged = pairs.filter(F.col("reason").isNull()).withColumns(
+        {
+            "chunk": F.floor(F.col("record_id") / chunk_records),
+            "usable": X.is_usable_code(F.col("code")),
+        }
+    )
+    counts = judged.groupBy("norm", "chunk", "code").agg(
+        F.count("*").alias("here"),
+        F.min(place()).alias("first_here"),
+        F.max("usable").alias("usable"),
     )
     so_far = Window.partitionBy("norm", "code").orderBy("chunk").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    history = counts.select(
-        "norm", "chunk", "code", "here",
-        F.sum("here").over(so_far).alias("upto"),
-        F.min("first_here").over(so_far).alias("first"),
+    history = counts.withColumns(
+        {"upto": F.sum("here").over(so_far), "first": F.min("first_here").over(so_far)}
     )
-    # The winner of a term over all earlier chunks, for the chunks that ask.
-    before = Window.partitionBy("norm").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    best_of_chunk = history.groupBy("norm", "chunk").agg(
-        F.max(ranked(F.col("upto"), F.col("first"), F.col("code"))).alias("best")
+    # Two kinds of rows open a chunk: the past of each code that occurs in it, and the
+    # winner over all earlier chunks, whose code need not occur in it.
+    past = history.filter(F.col("usable") & (F.col("upto") > F.col("here"))).select(
+        "norm", "chunk", "code", (F.col("upto") - F.col("here")).alias("weight"), "first"
     )
-    carried = (
-        best_of_chunk.withColumn("asks", F.lit(False))
-        .unionByName(asked.withColumn("asks", F.lit(True)), allowMissingColumns=True)
-        .groupBy("norm", "chunk")
-        .agg(F.max("best").alias("best"), F.max("asks").alias("asks"))
+    before = Window.partitionBy("norm").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    standing = F.when(F.col("usable"), ranked(F.col("upto"), F.col("first"), F.col("code")))
+    winner = (
+        history.groupBy("norm", "chunk")
+        .agg(F.max(standing).alias("best"), F.max(~F.col("usable")).alias("asks"))
         .withColumn("best", F.max("best").over(before))
         .filter(F.col("asks") & F.col("best").isNotNull())
         .select("norm", "chunk", "best")
     )
-    # Inside a chunk: earlier chunks enter as two kinds of rows before all pairs.
-    opening = history.filter(F.col("upto") > F.col("here")).select(
-        "norm", "chunk", "code", (F.col("upto") - F.col("here")).alias("weight"), "first"
-    )
-    steps = usable.select(
-        "norm", "chunk", "code", F.lit(1).cast("bigint").alias("weight"),
-        place().alias("first"), place().alias("at"),
-    )
-    relevant = steps.unionByName(opening, allowMissingColumns=True).join(
-        asked, ["norm", "chunk"], "left_semi"
+    details = judged.select(
+        "norm", "chunk", "code",
+        F.when(F.col("usable"), F.lit(1).cast("bigint")).alias("weight"),
+        F.when(F.col("usable"), place()).alias("first"),
+        place().alias("at"),
+        F.when(
+            ~F.col("usable"), F.struct("uuid", "admission_date", "column", "term", "code")
+        ).alias("ask"),
     )
     everything = (
-        relevant.unionByName(carried, allowMissingColumns=True)
-        .unionByName(
-            asking.select(
-                "norm", "chunk", place().alias("at"),
-                F.struct("uuid", "admission_date", "column", "term", "code").alias("ask"),
-            ),
-            allowMissingColumns=True,
-        )
+        details.unionByName(past, allowMissingColumns=True)
+        .unionByName(winner, allowMissingColumns=True)
         .repartition("norm", "chunk")
     )
-    by_code = Window.partitionBy("norm", "chunk", "code").orderBy("at")
-    in_chunk = Window.partitionBy("norm", "chunk").orderBy("at")
     upto_now = (Window.unboundedPreceding, Window.currentRow)
+    by_code = Window.partitionBy("norm", "chunk", "code").orderBy("at").rowsBetween(*upto_now)
+    in_chunk = Window.partitionBy("norm", "chunk").orderBy("at").rowsBetween(*upto_now)
     candidate = F.when(
         F.col("weight").isNotNull(),
-        ranked(
-            F.sum("weight").over(by_code.rowsBetween(*upto_now)),
-            F.min("first").over(by_code.rowsBetween(*upto_now)),
-            F.col("code"),
-        ),
+        ranked(F.sum("weight").over(by_code), F.min("first").over(by_code), F.col("code")),
     ).otherwise(F.col("best"))
     answered = (
         everything.withColumn("candidate", candidate)
-        .withColumn("top", F.max("candidate").over(in_chunk.rowsBetween(*upto_now)))
+        .withColumn("top", F.max("candidate").over(in_chunk))
         .filter(F.col("ask").isNotNull())
     )
     return answered.select(

@@ -96,13 +96,14 @@ def test_stats_reverse_and_invariants(spark):
     assert order == sorted(order, key=lambda p: (p[0], -p[1]))
 
 
-def test_template_first_flag_wins_and_placeholder(spark):
+def test_template_first_flag_wins_and_placeholder(spark, tmp_path):
     rows = [(i, [("t", c), ("", None)]) for i, c in enumerate(["ERROR: x", "C1", "ERROR: x", "None"])]
     template = I.inspect(cells(spark, rows)).template
     got = {(r.term_keyword, r.wrong_code, r.correct_code, r.note) for r in template.collect()}
     assert got == {("t", "ERROR: x", "", "ERROR_CODE"), ("t", "None", "C1", "EMPTY_OR_NONE_CODE")}
     clean = [(0, [("t", "C1"), ("", None)])]
-    only = I.inspect(cells(spark, clean)).template.collect()
+    I.write_template(I.inspect(cells(spark, clean)).template, str(tmp_path / "t"))
+    only = spark.read.option("header", True).csv(str(tmp_path / "t")).collect()
     assert len(only) == 1 and only[0].note == "请按需填写"
 
 
