@@ -95,3 +95,277 @@ def clean_records(spark: SparkSession, folder: str) -> DataFrame:
 def noisy_cells(spark: SparkSession, folder: str) -> DataFrame:
     records = noisy_records(spark, folder)
     return S.pair_cells(records, S.code_pairs(records.columns))
+
+
+# -- documents as free-text cells ---------------------------------------------
+
+# A small English/French/Spanish/German pack for the document cells.
+DOCUMENT_PACK = V.DiagnosisVocab(
+    separators=",;|?!\n\r\t",
+    stop_terms=("", "is", "le", "the", "%%%", "***"),
+    drop_patterns=(r"\p{Lu}\p{Ll}+", r"(?:on|in) .*", r".* ed"),
+    drop_keyword="with",
+    keep_patterns=(r".*with of.*", r"with .*"),
+    leading_words=("Is", "The"),
+    phrases=(" that ", "rewh"),
+    connectors=(" and ", " et ", " y ", " und "),
+    lexicon=(" and the",),
+    squeeze_chunks=False,
+)
+DOCUMENT_RISK_PACK = V.RiskVocab(
+    marker_pattern="[.,] ", prefixes=("the ", "de ", "on "), stop_terms=("is", "le", "der")
+)
+WORD_PACK = V.DiagnosisVocab(
+    stop_terms=("", "is", "a"),
+    connectors=("and", "of", "the", "de", "la"),
+    lexicon=("other", "then", "land"),
+    squeeze_chunks=False,
+)
+
+
+def bracketed_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, text) with brackets put in around some words: nested, surplus, unclosed."""
+    text = F.col("text")
+    for old, new in ((" the ", " (the "), (" of ", " of) "), (" de ", " [de "), (" la ", " la】 ")):
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return table(spark, folder, "documents").select("doc_id", text.alias("text"))
+
+
+def document_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, pos, line)"""
+    return table(spark, folder, "documents").select(
+        "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")
+    )
+
+
+def complication_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """(p_partkey, cell): ordinals, sizes, prefixes and punctuation around part fields."""
+    key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    cell = F.concat(
+        F.lit("其他"), key, F.lit(". "), "p_name", size, F.lit(".5x"), size, F.lit("cm、妊娠合并"),
+        "p_brand", F.lit("，"), key, F.lit("；"), "p_type", F.lit("？。 妊娠合并"), "p_type",
+    )
+    return table(spark, folder, "part").select("p_partkey", cell.alias("cell"))
+
+
+def indication_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """(p_partkey, cell): one of four kinds of indication text per part."""
+    key, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    cell = (
+        F.when(key % 4 == 0, F.concat(F.lit("脐带绕颈"), size, F.lit("周+"), "p_name"))
+        .when(
+            key % 4 == 1,
+            F.concat(F.lit("孕"), size, F.lit("+3周("), "p_brand", F.lit(") "), "p_name", F.lit("+"), "p_type"),
+        )
+        .when(key % 4 == 2, F.concat("p_name", F.lit("查因："), "p_brand", F.lit("，"), "p_type", F.lit(" (?)")))
+        .otherwise(
+            F.concat(F.lit("孕2产1孕"), size, F.lit("+1周 左枕前，要求手术 "), "p_type", F.lit(" 其他 "), size, F.lit("周"))
+        )
+    )
+    return table(spark, folder, "part").select("p_partkey", cell.alias("cell"))
+
+
+# -- replies and the cascade --------------------------------------------------
+
+
+def reply_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """(p_partkey, reply): fenced, bare, broken and mistyped rule verdicts."""
+    key = F.col("p_partkey")
+    good = F.concat(F.lit('{"match_found": true, "target_code": "'), "p_brand", F.lit('", "n": '), "p_size", F.lit("}"))
+    reply = (
+        F.when(key % 5 == 0, F.concat(F.lit("Sure.\n```json\n"), good, F.lit("\n``` done")))
+        .when(key % 5 == 1, F.concat(F.lit("I say "), good, F.lit(" end")))
+        .when(key % 5 == 2, F.concat(F.lit('```json {"match_found": tru} ``` '), good))
+        .when(key % 5 == 3, F.concat(F.lit('{"match_found": "true", "target_code": "'), "p_brand", F.lit('"}')))
+        .otherwise(F.lit("no object here"))
+    )
+    return table(spark, folder, "part").select("p_partkey", reply.alias("reply"))
+
+
+def coded_term() -> Column:
+    return F.concat("p_name", F.lit(" "), "p_brand")
+
+
+def uncoded_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Wide records with term cells only."""
+    lines = record_lines(spark, folder)
+    records = wide_records(lines, coded_term(), F.lit(""), False)
+    return records.select("record_id", "diagnosis1", "diagnosis2")
+
+
+def cascade_inputs(spark: SparkSession, folder: str):
+    """(cache, rules, resolvers) covering every branch of the cascade.
+
+    The number ``k`` of a term, its smallest part key, decides which stage knows it.
+    """
+    from dxweave.operators import candidates as K
+    from dxweave.operators import cascade as C
+
+    part = table(spark, folder, "part")
+    terms = part.groupBy(coded_term().alias("term"), "p_name").agg(F.min("p_partkey").alias("k"))
+    k, kind = F.col("k").cast("string"), F.col("k") % 7
+    word = [F.split("p_name", " ")[0], F.split("p_name", " ")[1]]
+    cache = terms.filter(kind == 0).select("term", F.concat(F.lit("K"), k).alias("code"))
+    rules = terms.filter(kind == 1).select("term", F.concat(F.lit("R"), k).alias("code"))
+    words = part.select(F.explode(F.split("p_name", " ")).alias("word")).distinct()
+
+    verdicts = terms.filter(kind.isin(2, 3)).select(
+        "term",
+        F.when(kind == 2, F.concat(F.lit('so ```json {"match_found": true, "target_code": "V'), k, F.lit('"} ``` ok')))
+        .otherwise(F.lit('{"match_found": false, "target_code": "no"}'))
+        .alias("reply"),
+    ).unionByName(
+        words.filter(F.col("word").startswith("b")).select(
+            F.col("word").alias("term"),
+            F.concat(F.lit('{"match_found": true, "target_code": "SV-'), "word", F.lit('"}')).alias("reply"),
+        )
+    )
+    splits = terms.filter(kind.isin(3, 4, 5)).select(
+        "term",
+        F.when(kind == 3, F.concat(F.lit('{"english_terms": ["'), word[0], F.lit('", "'), word[1], F.lit('"]}')))
+        .when(kind == 5, F.concat(F.lit('{"english_terms": "'), word[1], F.lit('"}')))
+        .otherwise(F.lit('sorry {"english": 1'))
+        .alias("reply"),
+    )
+    entity = lambda i: F.concat(
+        F.lit('{"theCode":"'), F.upper("word"), i.cast("string"), F.lit('","title":"<em>'), F.col("word"),
+        F.lit("</em> "), i.cast("string"), F.lit('","chapter":"18"}'),
+    )
+    response = F.concat(
+        F.lit('{"destinationEntities":['),
+        F.array_join(F.transform(F.sequence(F.lit(1), F.char_length("word") + 2), entity), ","),
+        F.lit("]}"),
+    )
+    found = words.filter(~F.col("word").startswith("g")).select(
+        F.col("word").alias("sub_term"),
+        K.candidates_of(F.when(~F.col("word").startswith("r"), response)).alias("candidates"),
+        F.when(F.col("word").startswith("r"), F.lit("timeout")).alias("error"),
+    )
+    selections = (
+        terms.filter(F.col("k") % 3 < 2)
+        .select("term", "k", F.explode(F.split("p_name", " ")).alias("sub_term"))
+        .select(
+            "term", "sub_term",
+            F.when(F.col("k") % 3 == 0, F.concat(F.lit('{"best_match_code": "S-'), "sub_term", F.lit("-"), k, F.lit('"}')))
+            .otherwise(F.lit("no"))
+            .alias("reply"),
+        )
+    )
+    resolvers = C.Resolvers(
+        verdicts=C.recorded(verdicts), splits=C.recorded(splits),
+        candidates=C.recorded(found), selections=C.recorded(selections),
+    )
+    return cache, rules, resolvers
+
+
+def search_catalogue(spark: SparkSession, folder: str) -> DataFrame:
+    items = table(spark, folder, "benchmark")
+    return items.select(F.concat(F.lit("B"), F.col("item_id").cast("string")).alias("code"), F.col("text").alias("title"))
+
+
+# -- dictionaries, context, rules, usage --------------------------------------
+
+
+def part_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    """(line, term, code) with duplicates; names that start with ``red`` are withheld."""
+    part = table(spark, folder, "part")
+    return part.filter(~F.col("p_name").startswith("red")).select(
+        F.col("p_partkey").alias("line"), F.col("p_name").alias("term"), F.col("p_brand").alias("code")
+    )
+
+
+ORDER_RULES = V.ContextRules(
+    excluded_tokens=("BUILDING", "AUTOMOBILE"),
+    exclusion_keywords=("ION_1", "YF"),
+    override_token="1-URGENT",
+    override_a=("NATION_2", "A1"),
+    override_b=("O", "B1|B2"),
+)
+
+
+def order_risks(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as records with a risk cell and two sibling cells."""
+    nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
+    customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    risk = F.concat_ws("|", "o_orderpriority", F.concat(F.lit(" "), "c_mktsegment"), "n_name")
+    return joined.select(
+        F.col("o_orderkey").alias("record_id"),
+        F.when(F.col("o_orderkey") % 11 != 0, risk).alias(V.RISK_COLUMN),
+        F.concat("c_mktsegment", F.lit(" "), "n_name", F.lit("Y")).alias(V.INDICATION_COLUMN),
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit("nan")).otherwise(F.col("o_orderstatus")).alias(V.COMPLICATION_COLUMN),
+    )
+
+
+def order_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    nations = table(spark, folder, "nation").filter(F.col("n_nationkey") % 5 != 0).select(
+        F.col("n_name").alias("term"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("code")
+    )
+    segments = table(spark, folder, "customer").select(
+        F.col("c_mktsegment").alias("term"), F.concat(F.lit("C"), "c_mktsegment").alias("code")
+    ).distinct()
+    urgent = table(spark, folder, "orders").filter(F.col("o_orderpriority") < "3").select(
+        F.col("o_orderpriority").alias("term"), F.concat(F.lit("P"), "o_orderpriority").alias("code")
+    ).distinct()
+    return nations.unionByName(segments).unionByName(urgent)
+
+
+def repair_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact rules per part name, contains rules per brand, fill rules per part type."""
+    part = table(spark, folder, "part")
+
+    def rules(by: str, base: int, mode: str, keyword: Column, wrong: Column, prefix: str, scope: Column) -> DataFrame:
+        k = part.groupBy(by).agg(F.min("p_partkey").alias("k"))
+        return k.select(
+            (F.col("k") + base).alias("rule_no"),
+            F.when(F.col("k") % 4 == 0, "N").otherwise("Y").alias("enabled"),
+            F.lit(mode).alias("term_match_mode"),
+            keyword.alias("term_keyword"),
+            wrong.alias("wrong_code"),
+            F.concat(F.lit(prefix), by).alias("correct_code"),
+            scope.alias("column_scope"),
+        )
+
+    third = F.col("k") % 3
+    every = F.lit("ALL")
+    return (
+        rules("p_name", 0, "exact", F.col("p_name"), F.lit("None"), "X-", F.when(third == 0, "diagnosis1").otherwise(every))
+        .unionByName(
+            rules("p_brand", 1_000_000, "contains",
+                  F.when(third == 0, "anvil").when(third == 1, "blue").otherwise("ri"), F.col("p_brand"), "Y-", every)
+        )
+        .unionByName(
+            rules("p_type", 2_000_000, "contains",
+                  F.when(third == 0, "g").when(third == 1, "o").otherwise("w"), F.lit(""), "Z-", every)
+        )
+    )
+
+
+def usage_calls(events: DataFrame) -> DataFrame:
+    """(label, usage): a call log built from events; every seventh call has no usage."""
+    n = F.get_json_object("props", "$.k").cast("int")
+    done = F.floor("value").cast("int")
+    details = (
+        F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(', "input_tokens_details": {"cached_tokens": '), (n % 5).cast("string"), F.lit("}")))
+        .when(F.col("event_id") % 3 == 1, F.concat(F.lit(', "prompt_tokens_details": {"cached_tokens": '), (n % 4).cast("string"), F.lit("}")))
+        .otherwise(F.lit(""))
+    )
+    usage = F.concat(
+        F.lit('{"prompt_tokens": '), n.cast("string"), F.lit(', "completion_tokens": '), done.cast("string"),
+        F.lit(', "total_tokens": '), (n + done).cast("string"), details, F.lit("}"),
+    )
+    return events.select(F.col("event_type").alias("label"), F.when(F.col("event_id") % 7 != 0, usage).alias("usage"))
+
+
+STATISTICS_PACK = V.CodeGroups(
+    groups={"G1": ("Brand#1",), "G2": ("Brand#12", "Brand#2"), "G3": ("Brand#3", "none of all")},
+    relabel=("Brand#2", "Brand#2 at zero", "second brand"),
+)
+
+
+def parity_records(spark: SparkSession, folder: str) -> DataFrame:
+    parity = (F.col("record_id") % 3).cast("string")
+    return noisy_records(spark, folder).withColumn(V.PARITY_COLUMN, F.when(F.col("record_id") % 5 != 0, parity))

@@ -100,3 +100,81 @@ ranked_codes AS (
 spellings AS (
   SELECT norm, term, row_number() OVER (PARTITION BY norm ORDER BY count(*) DESC, min((record_id, col_ord, pos))) AS rk
   FROM usable GROUP BY norm, term)"""
+
+
+# -- text ---------------------------------------------------------------------
+
+
+def ws(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def joined_distinct(source: str, keys: str, item: str, order: str) -> str:
+    """Distinct items of each key in order of first appearance, pipe-joined."""
+    return (
+        f"(SELECT {keys}, string_agg({item}, '|' ORDER BY first) AS terms FROM "
+        f"(SELECT {keys}, {item}, min({order}) AS first FROM {source} GROUP BY {keys}, {item}) GROUP BY {keys})"
+    )
+
+
+BRACKETED = """bracketed AS (
+  SELECT doc_id AS id, replace(replace(replace(replace(text, ' the ', ' (the '), ' of ', ' of) '),
+                       ' de ', ' [de '), ' la ', ' la】 ') AS text
+  FROM documents)"""
+
+
+def depth_parts(source: str, separators: str) -> str:
+    """CTEs ending in ``parts`` (id, pos, part): a running depth over single characters.
+
+    The depth that never falls below zero is the running sum of the steps less the
+    smallest such sum so far.
+    """
+    return f"""letters AS (
+  SELECT id, generate_subscripts(cs, 1) AS i, unnest(cs) AS ch
+  FROM (SELECT id, string_split(text, '') AS cs FROM {source} WHERE text <> '')),
+steps AS (
+  SELECT *, sum(CASE WHEN contains('(（[【{{', ch) THEN 1 WHEN contains(')）]】}}', ch) THEN -1 ELSE 0 END)
+              OVER (PARTITION BY id ORDER BY i ROWS UNBOUNDED PRECEDING) AS s FROM letters),
+depths AS (
+  SELECT *, s - least(0, min(s) OVER (PARTITION BY id ORDER BY i ROWS UNBOUNDED PRECEDING)) AS depth FROM steps),
+cuts AS (SELECT *, depth = 0 AND contains({separators}, ch) AS cut FROM depths),
+numbered_cuts AS (
+  SELECT *, sum(CASE WHEN cut THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY i ROWS UNBOUNDED PRECEDING) AS g
+  FROM cuts),
+raw_parts AS (
+  SELECT id, g, {ws("string_agg(ch, '' ORDER BY i)")} AS part FROM numbered_cuts WHERE NOT cut GROUP BY id, g),
+parts AS (
+  SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY g) - 1 AS INTEGER) AS pos, part
+  FROM raw_parts WHERE part <> '')"""
+
+
+TERM_SEPARATORS = "',，;；|、?？ ' || chr(10) || chr(13) || chr(9)"
+DOCUMENT_SEPARATORS = "',;|?!' || chr(10) || chr(13) || chr(9)"
+LINES = """doc_lines AS (
+  SELECT doc_id, CAST(generate_subscripts(ls, 1) - 1 AS INTEGER) AS pos, unnest(ls) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))"""
+
+
+def non_disease(x: str) -> str:
+    """The document pack's test for terms that are not kept."""
+    t = ws(x)
+    return (
+        f"(lower({t}) IN ('', 'is', 'le', 'the', '%%%', '***')"
+        f" OR regexp_full_match({t}, '\\p{{Lu}}\\p{{Ll}}+|(?:on|in) .*|.* ed')"
+        f" OR (contains({t}, 'with') AND NOT regexp_full_match({t}, '.*with of.*|with .*')))"
+    )
+
+
+def no_marks(x: str) -> str:
+    return f"regexp_replace(translate({x}, '?？', ''), '[（(]\\s*[）)]', '', 'g')"
+
+
+def no_phrases(x: str) -> str:
+    return ws(f"replace(replace({x}, ' that ', ''), 'rewh', '')")
+
+
+def no_prefixes(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, '^\\p{{Nd}}+[.、]\\s*', ''), '^(?:The|Is)\\s*', '')"
+
+
+EDGES = "' ，,;；|'"

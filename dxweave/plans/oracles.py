@@ -112,3 +112,358 @@ template AS (
          'ALL' AS column_scope, note FROM chosen WHERE rk = 1)"""
 
 ORACLES["fix_rule_template"] = f"{_TEMPLATE}\nSELECT * FROM template"
+
+# -- text and cleaning --------------------------------------------------------
+
+ORACLES["normalize_terms"] = f"""WITH {S.LINES},
+n AS (SELECT doc_id, pos, CASE WHEN lower({S.ws('line')}) = 'nan' THEN '' ELSE {S.norm('line')} END AS norm FROM doc_lines)
+SELECT doc_id, pos, norm, {S.reason('norm')} AS reason FROM n"""
+
+ORACLES["depth_split"] = f"""WITH {S.BRACKETED}, {S.depth_parts('bracketed', S.TERM_SEPARATORS)}
+SELECT id AS doc_id, pos, part FROM parts"""
+
+def _is_digits(x: str) -> str:
+    return f"regexp_full_match({x}, '\\p{{Nd}}+')"
+
+
+_CONNECTORS = " and | und | et | y "
+ORACLES["clean_terms"] = f"""WITH {S.BRACKETED}, {S.depth_parts('bracketed', S.DOCUMENT_SEPARATORS)},
+heads AS (
+  SELECT id, pos, trim({S.no_phrases(S.no_marks(S.no_prefixes('part')))}, {S.EDGES}) AS term FROM parts),
+kept AS (SELECT * FROM heads WHERE term <> '' AND NOT {S.non_disease('term')}),
+cut AS (
+  SELECT *, list_filter(list_transform(
+           regexp_split_to_array(replace(term, ' and the', chr(983040)), '{_CONNECTORS}'),
+           lambda c: {S.ws("replace(c, chr(983040), ' and the')")}), lambda c: c <> '') AS chunks FROM kept),
+chosen AS (
+  SELECT id, pos, term, CASE WHEN regexp_matches(term, '{_CONNECTORS}') AND len(chunks) > 1 THEN
+           list_filter(chunks, lambda c: c NOT IN ('', 'is', 'le', 'the', '%%%', '***') AND NOT {_is_digits('c')})
+         ELSE [] END AS good FROM cut),
+lists AS (SELECT id, pos, CASE WHEN len(good) > 0 THEN good ELSE [{S.ws('term')}] END AS pieces FROM chosen),
+pieces AS (
+  SELECT id, pos, generate_subscripts(pieces, 1) AS sub, unnest(pieces) AS piece FROM lists),
+tails AS (
+  SELECT id, pos * 100000 + sub AS at_, {S.no_phrases(S.ws(S.no_marks(f"trim(piece, {S.EDGES})")))} AS piece FROM pieces),
+final AS (SELECT * FROM tails WHERE piece <> '' AND NOT {S.non_disease('piece')} AND NOT {_is_digits('piece')})
+SELECT doc_id, terms FROM documents LEFT JOIN {S.joined_distinct('final', 'id', 'piece', 'at_')} f ON f.id = doc_id"""
+
+ORACLES["legacy_plain"] = f"""WITH {S.BRACKETED}, {S.depth_parts('bracketed', S.DOCUMENT_SEPARATORS)},
+heads AS (SELECT id, pos, trim({S.no_prefixes('part')}, {S.EDGES}) AS term FROM parts),
+final AS (SELECT * FROM heads WHERE term <> '' AND NOT {S.non_disease('term')} AND NOT {_is_digits('term')})
+SELECT doc_id, terms FROM documents LEFT JOIN {S.joined_distinct('final', 'id', 'term', 'pos')} f ON f.id = doc_id"""
+
+# The derived cells hold none of the phrases, connectors or patterns of the full pack
+# but the noise words, so splitting, trimming and the stop list decide.
+ORACLES["clean_columns"] = f"""WITH {S.NOISY},
+texts AS (
+  SELECT record_id || '/1' AS id, CASE WHEN t1 NOT IN ('/', '无') THEN t1 END AS text FROM records
+  UNION ALL SELECT record_id || '/2', CASE WHEN t2 NOT IN ('/', '无') THEN t2 END FROM records),
+{S.depth_parts('texts', S.TERM_SEPARATORS)},
+heads AS (SELECT id, pos, trim({S.no_marks('part')}, {S.EDGES}) AS term FROM parts),
+final AS (SELECT * FROM heads WHERE term NOT IN ('', '无')),
+terms AS {S.joined_distinct('final', 'id', 'term', 'pos')}
+SELECT record_id, a.terms AS diagnosis1, b.terms AS diagnosis2
+FROM records LEFT JOIN terms a ON a.id = record_id || '/1' LEFT JOIN terms b ON b.id = record_id || '/2'"""
+
+ORACLES["connector_split"] = f"""WITH {S.LINES},
+shielded AS (
+  SELECT *, replace(replace(replace(line, 'other', chr(983040)), 'then', chr(983041)), 'land', chr(983042)) AS s
+  FROM doc_lines),
+cut AS (
+  SELECT *, list_filter(list_transform(regexp_split_to_array(s, 'and|the|de|la|of'), lambda c:
+    {S.ws("replace(replace(replace(c, chr(983040), 'other'), chr(983041), 'then'), chr(983042), 'land')")}),
+    lambda c: c <> '') AS chunks FROM shielded),
+good AS (SELECT *, list_filter(chunks, lambda c: c NOT IN ('', 'is', 'a') AND NOT {_is_digits('c')}) AS g FROM cut)
+SELECT doc_id, pos, CASE WHEN regexp_matches(line, 'and|the|de|la|of') AND len(chunks) > 1 AND len(g) > 0
+  THEN array_to_string(g, '|') ELSE {S.ws('line')} END AS chunks FROM good"""
+
+ORACLES["marker_split"] = f"""WITH items AS (
+  SELECT doc_id AS id, generate_subscripts(ps, 1) AS pos, unnest(ps) AS part
+  FROM (SELECT doc_id, regexp_split_to_array(text, '[.,] ') AS ps FROM documents)),
+trimmed AS (
+  SELECT id, pos, {S.ws("regexp_replace(regexp_replace(regexp_replace(" + S.ws('part') + ", 'the ', ''), 'de ', ''), 'on ', '')")} AS item
+  FROM items),
+final AS (SELECT * FROM trimmed WHERE item NOT IN ('', 'is', 'le', 'der'))
+SELECT doc_id, terms FROM documents LEFT JOIN {S.joined_distinct('final', 'id', 'item', 'pos')} f ON f.id = doc_id"""
+
+_SIZE = r"(\p{Nd}+(?:\.\p{Nd}+)?x\p{Nd}+(?:\.\p{Nd}+)?cm)"
+ORACLES["legacy_complications"] = rf"""WITH cells AS (
+  SELECT p_partkey AS id, p_partkey || '. ' || p_name || p_size || '.5x' || p_size || 'cm、妊娠合并' || p_brand
+         || '，' || p_partkey || '；' || p_type || '？。 妊娠合并' || p_type AS cell FROM part),
+plain AS (
+  SELECT id, regexp_replace(translate(regexp_replace(cell, '{_SIZE}|\p{{Nd}}+\.\s*', '\1', 'g'), '。?？', ''),
+                            '{_SIZE}|\p{{Nd}}+[、.]', '\1', 'g') AS text FROM cells),
+terms AS (
+  SELECT id, generate_subscripts(ts, 1) AS pos, {S.ws('unnest(ts)')} AS term
+  FROM (SELECT id, regexp_split_to_array(text, '[;；,，、]') AS ts FROM plain)),
+words AS (
+  SELECT id, pos * 1000 + generate_subscripts(ws, 1) AS at_, regexp_replace(unnest(ws), '^妊娠合并', '') AS word
+  FROM (SELECT id, pos, regexp_split_to_array(term, '\s+') AS ws FROM terms WHERE term <> '' AND NOT {_is_digits('term')})),
+final AS (SELECT * FROM words WHERE length(word) > 1 OR regexp_full_match(word, '\p{{L}}'))
+SELECT p_partkey, terms FROM part LEFT JOIN {S.joined_distinct('final', 'id', 'word', 'at_')} f ON f.id = p_partkey"""
+
+# What each kind of derived cell must come to, stated directly.
+ORACLES["legacy_protected"] = """SELECT p_partkey, CASE p_partkey % 4
+  WHEN 0 THEN '脐带绕颈' || p_size || '周|' || replace(p_name, ' ', '|')
+  WHEN 1 THEN '孕' || p_size || '+3周(' || p_brand || ')|' || replace(p_name, ' ', '|') || '+' || p_type
+  WHEN 2 THEN p_brand || '|' || p_type
+  ELSE '孕2产1孕' || p_size || '+1周 左枕前|' || p_type END AS terms FROM part"""
+
+ORACLES["strip_html"] = "SELECT page_id, regexp_replace(html, '<.*?>', '', 'g') AS plain FROM pages"
+
+ORACLES["extract_json"] = """WITH docs AS (
+  SELECT p_partkey, CASE WHEN p_partkey % 5 IN (0, 1) THEN
+           '{"match_found": true, "target_code": "' || p_brand || '", "n": ' || p_size || '}'
+         WHEN p_partkey % 5 = 3 THEN '{"match_found": "true", "target_code": "' || p_brand || '"}' END AS document
+  FROM part)
+SELECT p_partkey, document,
+       CASE WHEN json_type(document, '$.match_found') = 'BOOLEAN' THEN json_extract_string(document, '$.target_code') END AS code,
+       coalesce(TRY_CAST(json_extract_string(document, '$.n') AS BIGINT), 0) AS n
+FROM docs"""
+
+# -- layout -------------------------------------------------------------------
+
+ORACLES["row_ordinal"] = "SELECT row_number() OVER (ORDER BY event_id) - 1 AS ordinal, event_id FROM events"
+
+ORACLES["record_terms"] = f"""WITH {S.NOISY}, {S.PAIRS}
+SELECT record_id, col_ord, 'diagnosis' || (col_ord + 1) AS "column", CAST(nr AS INTEGER) AS pos, term FROM spread"""
+
+_UNCODED = S.records("p_name || ' ' || p_brand", "''", False)
+ORACLES["record_round_trip"] = f"""WITH {_UNCODED}
+SELECT record_id, t1 AS diagnosis1, t2 AS diagnosis2 FROM records"""
+
+# -- lookups and rules --------------------------------------------------------
+
+ORACLES["rule_set_version"] = """SELECT p_type, substr(md5(string_agg(
+    '- Rule: If input implies ''' || p_name || ''', map to ''' || p_brand || '''', chr(10) ORDER BY p_partkey)), 1, 8) AS version
+FROM part GROUP BY p_type"""
+
+_BOOK = "book AS (SELECT p_partkey AS line, p_name AS term, p_brand AS code FROM part WHERE NOT starts_with(p_name, 'red'))"
+ORACLES["dictionary_last_wins"] = f"""WITH {_BOOK}
+SELECT line, term, code FROM (SELECT *, row_number() OVER (PARTITION BY term ORDER BY line DESC) AS rk FROM book) WHERE rk = 1"""
+ORACLES["rules_first_wins"] = f"""WITH {_BOOK}
+SELECT line, term, code FROM (SELECT *, row_number() OVER (PARTITION BY term, code ORDER BY line) AS rk FROM book) WHERE rk = 1"""
+ORACLES["dictionary_map"] = f"""WITH {_BOOK},
+last AS (SELECT term, arg_max(code, line) AS code FROM book GROUP BY term)
+SELECT l_orderkey AS record_id, l_linenumber, l_partkey, l_suppkey, l_extendedprice, p_name AS term,
+       coalesce(code, 'ERROR: No mapping for ''' || p_name || '''') AS code
+FROM lineitem JOIN part ON l_partkey = p_partkey LEFT JOIN last ON term = p_name"""
+
+ORACLES["context_rules"] = """WITH base AS (
+  SELECT o_orderkey AS id, o_orderpriority AS pri, c_mktsegment AS seg, n_name AS nat, n_nationkey AS nk,
+         c_mktsegment || ' ' || n_name || 'Y' || CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE o_orderstatus END AS context
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+looked AS (
+  SELECT id,
+    CASE WHEN pri = '1-URGENT' AND contains(context, 'NATION_2') AND NOT contains(context, 'O') THEN 'A1'
+         WHEN pri = '1-URGENT' AND contains(context, 'O') AND NOT contains(context, 'NATION_2') THEN 'B1|B2'
+         WHEN pri < '3' THEN 'P' || pri ELSE 'ERROR: No mapping for ''' || pri || '''' END AS a,
+    CASE WHEN seg IN ('BUILDING', 'AUTOMOBILE') AND (contains(context, 'ION_1') OR contains(context, 'YF')) THEN NULL
+         ELSE 'C' || seg END AS b,
+    CASE WHEN nk % 5 <> 0 THEN 'N' || nk ELSE 'ERROR: No mapping for ''' || nat || '''' END AS c
+  FROM base)
+SELECT id AS record_id, CASE WHEN id % 11 = 0 THEN '' ELSE concat_ws('|', a, b, c) END AS risk_codes FROM looked"""
+
+# -- coding cascade -----------------------------------------------------------
+
+
+def _sub_code(word: str) -> str:
+    return (
+        f"CASE WHEN {word} LIKE 'b%' THEN 'SV-' || {word} WHEN {word} LIKE 'g%' THEN 'ERROR: No API results' "
+        f"WHEN {word} LIKE 'r%' THEN 'ERROR: timeout' WHEN k % 3 = 0 THEN 'S-' || {word} || '-' || k "
+        "ELSE 'ERROR: Selection failed' END"
+    )
+
+
+_W1, _W2 = "split_part(p_name, ' ', 1)", "split_part(p_name, ' ', 2)"
+_TERM_CODES = f"""term_numbers AS (
+  SELECT p_name || ' ' || p_brand AS term, p_name, min(p_partkey) AS k FROM part GROUP BY p_name, p_brand),
+term_codes AS (
+  SELECT term, CASE k % 7 WHEN 0 THEN 'K' || k WHEN 1 THEN 'R' || k WHEN 2 THEN 'V' || k
+           WHEN 3 THEN {_sub_code(_W1)} || '|' || {_sub_code(_W2)} WHEN 5 THEN {_sub_code(_W2)}
+           ELSE 'ERROR: Splitting/Translation failed: Invalid JSON format.' END AS code,
+         CASE k % 7 WHEN 0 THEN 'cache' WHEN 1 THEN 'rule' WHEN 2 THEN 'verdict' WHEN 3 THEN 'search'
+           WHEN 5 THEN 'search' ELSE 'error' END AS stage
+  FROM term_numbers)"""
+
+_CODED_RECORDS = f"""WITH {_TERM_CODES},
+numbered AS (
+  SELECT l_orderkey AS record_id, code,
+         row_number() OVER (PARTITION BY l_orderkey
+                            ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS k
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN term_codes ON term = p_name || ' ' || p_brand)
+SELECT record_id, string_agg(code, '|' ORDER BY k) FILTER (WHERE k % 2 = 0) AS "diagnosis1_ICD11_Code",
+       string_agg(code, '|' ORDER BY k) FILTER (WHERE k % 2 = 1) AS "diagnosis2_ICD11_Code"
+FROM numbered GROUP BY record_id"""
+ORACLES["code_cascade"] = _CODED_RECORDS
+ORACLES["incremental_coding"] = _CODED_RECORDS
+
+_SEEN = "WHERE term IN (SELECT p_name || ' ' || p_brand FROM lineitem JOIN part ON l_partkey = p_partkey)"
+ORACLES["coded_terms"] = f"WITH {_TERM_CODES} SELECT term, code, stage FROM term_codes {_SEEN}"
+ORACLES["cache_additions"] = f"""WITH {_TERM_CODES}
+SELECT term, code FROM term_codes {_SEEN} AND stage <> 'cache' AND NOT contains(code, 'ERROR:')"""
+
+ORACLES["recorded_candidates"] = """WITH words AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS w FROM part)
+SELECT w AS sub_term, CAST(i AS INTEGER) AS rank, upper(w) || i AS code, w || ' ' || i AS title, '18' AS chapter
+FROM words, range(1, 6) AS r(i) WHERE w NOT LIKE 'g%' AND w NOT LIKE 'r%' AND i <= length(w) + 2"""
+
+_WORDS = "list_distinct(list_filter(regexp_split_to_array(lower({x}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> ''))"
+ORACLES["candidate_topk"] = f"""WITH {S.LINES},
+asked AS (SELECT DISTINCT line AS sub_term FROM doc_lines),
+q AS (SELECT sub_term, unnest({_WORDS.format(x='sub_term')}) AS word FROM asked),
+titles AS (SELECT 'B' || item_id AS code, {_WORDS.format(x='text')} AS words FROM benchmark),
+e AS (SELECT code, len(words) AS n, unnest(words) AS word FROM titles),
+scored AS (SELECT sub_term, code, n, count(*) AS score FROM q JOIN e USING (word) GROUP BY sub_term, code, n),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY sub_term ORDER BY score DESC, n, code) AS rank FROM scored)
+SELECT sub_term, code, score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 5"""
+
+# -- resume -------------------------------------------------------------------
+
+ORACLES["merge_resume"] = """SELECT o_orderkey AS record_id,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'later ' || o_orderpriority WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS "diagnosis1_ICD11_Code",
+  CASE WHEN o_orderkey % 3 = 0 OR o_orderkey % 2 = 0 THEN o_orderstatus END AS "diagnosis2_ICD11_Code" FROM orders"""
+ORACLES["resume_unfinished"] = """SELECT o_orderkey AS record_id, o_orderpriority FROM orders
+WHERE o_orderkey % 2 <> 0 AND o_orderkey % 3 <> 0"""
+
+# -- repair -------------------------------------------------------------------
+
+_RULES = """rules AS (
+  SELECT min(p_partkey) AS rule_no, 'exact' AS mode, p_name AS keyword, 'None' AS wrong_code, 'X-' || p_name AS correct_code,
+         CASE WHEN min(p_partkey) % 3 = 0 THEN 'diagnosis1' ELSE 'ALL' END AS scope
+  FROM part GROUP BY p_name HAVING min(p_partkey) % 4 <> 0
+  UNION ALL
+  SELECT 1000000 + min(p_partkey), 'contains',
+         CASE min(p_partkey) % 3 WHEN 0 THEN 'anvil' WHEN 1 THEN 'blue' ELSE 'ri' END, p_brand, 'Y-' || p_brand, 'ALL'
+  FROM part GROUP BY p_brand HAVING min(p_partkey) % 4 <> 0
+  UNION ALL
+  SELECT 2000000 + min(p_partkey), 'contains',
+         CASE min(p_partkey) % 3 WHEN 0 THEN 'g' WHEN 1 THEN 'o' ELSE 'w' END, '', 'Z-' || p_type, 'ALL'
+  FROM part GROUP BY p_type HAVING min(p_partkey) % 4 <> 0)"""
+ORACLES["repair_rule_set"] = f"WITH {_RULES} SELECT rule_no, mode, keyword, wrong_code, correct_code, scope FROM rules"
+
+_CHANGES = f"""{_INSPECT}, {_RULES},
+slots AS (
+  SELECT record_id, col_ord, col, pos, term, norm, code FROM pairs WHERE reason IS NULL
+  UNION ALL
+  SELECT record_id, col_ord, col, generate_subscripts(clean_terms, 1) - 1, unnest(clean_terms), unnest(clean_norms), ''
+  FROM shaped WHERE len(codes) = 0 AND len(clean_terms) > 0),
+hits AS (
+  SELECT s.*, r.correct_code AS new_code, r.rule_no,
+         row_number() OVER (PARTITION BY s.record_id, s.col_ord, s.pos ORDER BY r.mode DESC, r.rule_no) AS rk
+  FROM slots s JOIN rules r
+    ON (r.wrong_code = s.code OR (r.wrong_code = '' AND lower(s.code) IN ('', 'none', 'nan')))
+   AND CASE r.mode WHEN 'exact' THEN r.keyword = s.norm ELSE contains(s.norm, r.keyword) END
+   AND r.scope IN ('ALL', s.col)),
+changes AS (SELECT * FROM hits WHERE rk = 1 AND code <> new_code)"""
+ORACLES["apply_fix_rules"] = f"""{_CHANGES}
+SELECT record_id, col_ord, col AS "column", CAST(pos AS INTEGER) AS pos, term, code AS old_code, new_code, rule_no,
+       'RULE_UPDATED' AS status FROM changes"""
+ORACLES["fix_summary"] = f"""{_CHANGES}
+SELECT rule_no, 'RULE_UPDATED' AS status, count(*) AS modifications FROM changes GROUP BY rule_no"""
+# Every slot of an aligned cell, noise included, so that untouched codes keep their place.
+ORACLES["repaired_records"] = f"""{_CHANGES},
+every_slot AS (
+  SELECT record_id, col_ord, pos, code FROM pairs
+  UNION ALL SELECT record_id, col_ord, pos, 'None' FROM slots WHERE code = ''),
+rebuilt AS (
+  SELECT e.record_id, e.col_ord, string_agg(coalesce(c.new_code, e.code), '|' ORDER BY e.pos) AS cell, count(c.new_code) AS n
+  FROM every_slot e LEFT JOIN changes c USING (record_id, col_ord, pos) GROUP BY e.record_id, e.col_ord)
+SELECT records.record_id, CASE WHEN a.n > 0 THEN a.cell ELSE c1 END AS "diagnosis1_ICD11_Code",
+       CASE WHEN b.n > 0 THEN b.cell ELSE c2 END AS "diagnosis2_ICD11_Code"
+FROM records LEFT JOIN rebuilt a ON a.record_id = records.record_id AND a.col_ord = 0
+LEFT JOIN rebuilt b ON b.record_id = records.record_id AND b.col_ord = 1"""
+
+ORACLES["noise_free_records"] = f"""{_INSPECT},
+kept_pairs AS (
+  SELECT record_id, col_ord, string_agg(code, '|' ORDER BY pos) FILTER (WHERE reason IS NULL) AS cell
+  FROM pairs GROUP BY record_id, col_ord),
+outcome AS (
+  SELECT record_id, col_ord,
+         CASE WHEN len(codes) = 0 OR pairing IS NOT NULL OR len(clean_terms) = len(codes)
+              THEN nullif(array_to_string(clean_terms, '|'), '') ELSE array_to_string(terms, '|') END AS t,
+         CASE WHEN pairing = 'all' THEN k.cell ELSE nullif(array_to_string(codes, '|'), '') END AS c
+  FROM shaped LEFT JOIN kept_pairs k USING (record_id, col_ord))
+SELECT records.record_id, a.t AS diagnosis1, a.c AS "diagnosis1_ICD11_Code", b.t AS diagnosis2, b.c AS "diagnosis2_ICD11_Code"
+FROM records LEFT JOIN outcome a ON a.record_id = records.record_id AND a.col_ord = 0
+LEFT JOIN outcome b ON b.record_id = records.record_id AND b.col_ord = 1"""
+
+
+def _swap(cell: str, expression: str) -> str:
+    return f"array_to_string(list_transform(string_split({cell}, '|'), lambda x: {expression}), '|')"
+
+
+def _replaced(expression: str) -> str:
+    return f"""WITH {S.CLEAN}
+SELECT record_id, {_swap('c1', expression)} AS "diagnosis1_ICD11_Code", {_swap('c2', expression)} AS "diagnosis2_ICD11_Code"
+FROM records"""
+
+
+ORACLES["global_replace_one"] = _replaced("CASE WHEN x = 'Brand#2' THEN 'Brand#2/X' ELSE x END")
+ORACLES["global_replace_table"] = _replaced("CASE WHEN suffix(x, '2') THEN x || '-new' ELSE x END")
+
+
+def _sample(name: str, condition: str) -> str:
+    return f"""SELECT record_id, uuid, admission_date, col AS "column", array_to_string(terms, '|') AS terms,
+       array_to_string(codes, '|') AS codes, '{name}' AS asked FROM cells WHERE {condition}"""
+
+
+_CODE_TEST = "list_contains(codes, 'Brand#12')"
+_WORD_TEST = "len(list_filter(terms, lambda t: contains(t, 'anvil'))) > 0"
+ORACLES["sample_query"] = "\nUNION ALL\n".join(
+    [f"{_INSPECT}\n{_sample('code', _CODE_TEST)}", _sample("keyword", _WORD_TEST), _sample("both", f"{_CODE_TEST} AND {_WORD_TEST}")]
+)
+
+# -- statistics ---------------------------------------------------------------
+
+_ITEMS = f"""WITH {S.NOISY},
+codes AS (
+  SELECT DISTINCT record_id, trim(unnest(string_split(concat_ws('|', c1, c2), '|'))) AS raw FROM records),
+details AS (
+  SELECT DISTINCT record_id,
+         CASE WHEN raw = 'Brand#2' THEN CASE WHEN record_id % 5 <> 0 AND record_id % 3 = 0 THEN 'Brand#2 at zero' ELSE 'second brand' END
+              ELSE raw END AS item
+  FROM codes WHERE raw <> '' AND NOT contains(raw, 'ERROR')),
+grouped AS (
+  SELECT *, CASE WHEN starts_with(item, 'Brand#1') THEN 'G1'
+                 WHEN starts_with(item, 'Brand#12') OR starts_with(item, 'Brand#2') THEN 'G2'
+                 WHEN starts_with(item, 'Brand#3') OR starts_with(item, 'none of all') THEN 'G3' END AS label FROM details)"""
+
+
+def _statistics(items: str) -> str:
+    return f"""{_ITEMS}, items AS ({items})
+SELECT item AS "ICD11_Code_Or_Group", count(*) AS "Total_Occurrences", count(DISTINCT record_id) AS "Patient_Count",
+       printf('%.4f%%', count(DISTINCT record_id) / (SELECT count(*) FROM records) * 100) AS "Prevalence"
+FROM items GROUP BY item"""
+
+
+_DETAIL = "SELECT record_id, item FROM grouped"
+_LABELS = "SELECT DISTINCT record_id, label AS item FROM grouped WHERE label IS NOT NULL"
+ORACLES["code_prevalence"] = _statistics(_DETAIL)
+ORACLES["code_prevalence_with_groups"] = _statistics(f"{_DETAIL} UNION {_LABELS}")
+ORACLES["code_prevalence_ungrouped"] = _statistics(f"{_DETAIL} WHERE label IS NULL UNION {_LABELS}")
+ORACLES["code_prevalence_groups_only"] = _statistics(_LABELS)
+
+ORACLES["prefix_groups"] = """WITH rules AS (
+  SELECT substr(p_brand, 1, 7) AS prefix, min(p_partkey) AS rank FROM part GROUP BY 1
+  UNION ALL SELECT p_brand, max(p_partkey) FROM part WHERE length(p_brand) > 7 GROUP BY 1),
+codes AS (SELECT DISTINCT p_brand AS code FROM part),
+hits AS (SELECT code, 'group ' || prefix AS label, row_number() OVER (PARTITION BY code ORDER BY rank) AS rk
+         FROM codes JOIN rules ON starts_with(code, prefix))
+SELECT code, label FROM codes LEFT JOIN (SELECT * FROM hits WHERE rk = 1) h USING (code)"""
+
+# -- usage and streams --------------------------------------------------------
+
+_CALLS = """WITH calls AS (
+  SELECT event_type AS label, event_id % 7 <> 0 AS used, CAST(json_extract_string(props, '$.k') AS BIGINT) AS n,
+         CAST(floor(value) AS BIGINT) AS done, event_id % 3 AS kind FROM events),
+counted AS (
+  SELECT *, CASE WHEN NOT used THEN NULL WHEN kind = 0 THEN n % 5 WHEN kind = 1 THEN n % 4 END AS cached FROM calls)"""
+_COUNTERS = """count(*) AS calls, count(*) FILTER (WHERE used) AS calls_with_usage,
+       count(cached) AS calls_with_cached_tokens_field, count(*) FILTER (WHERE cached > 0) AS calls_with_cache_hit,
+       CAST(sum(CASE WHEN used THEN n ELSE 0 END) AS BIGINT) AS prompt_tokens,
+       CAST(sum(CASE WHEN used THEN done ELSE 0 END) AS BIGINT) AS completion_tokens,
+       CAST(sum(CASE WHEN used THEN n + done ELSE 0 END) AS BIGINT) AS total_tokens,
+       CAST(sum(coalesce(cached, 0)) AS BIGINT) AS cached_tokens"""
+ORACLES["usage_summary"] = f"""{_CALLS}
+SELECT label, CAST(grouping(label) AS INTEGER) AS is_total, {_COUNTERS} FROM counted GROUP BY ROLLUP (label)"""
+ORACLES["usage_stream"] = f"{_CALLS} SELECT label, {_COUNTERS} FROM counted GROUP BY label"

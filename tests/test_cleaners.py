@@ -68,3 +68,29 @@ def test_indication_can_keep_text_before_cause(apply):
     keep = lambda c: C.clean_indication(c, keep_text_before_cause=True)
     assert apply(keep, ["发热查因:感染"]) == ["发热感染"]
     assert apply(C.clean_indication, ["a，发热查因：感染，b"]) == ["感染|b"]
+
+
+def test_clean_table_dispatch(spark):
+    from dxweave import vocab as V
+    from dxweave.plans.cleaning import clean_table
+
+    schema = f"uuid string, Diagnosis2 string, `{V.RISK_COLUMN}` string, `{V.COMPLICATION_COLUMN}` string, `{V.INDICATION_COLUMN}` string"
+    row = ("7", "贫血伴甲减、无", "贫血(黄色)", "要求手术", "脐带绕颈1周+羊水少")
+    df = spark.createDataFrame([row, ("8", "无", None, "珍贵儿", "其他 /")], schema)
+    assert [tuple(r) for r in clean_table(df).collect()] == [
+        ("7", "贫血|甲减", "贫血", None, "脐带绕颈1周+羊水少"), ("8", None, None, None, None),
+    ]
+    old = [tuple(r) for r in clean_table(df, "archived").collect()]
+    assert old == [("7", "贫血伴甲减", "贫血", "要求手术", "脐带绕颈1周|羊水少"), ("8", None, None, None, None)]
+    upper = clean_table(df, overrides={"uuid": lambda c: c})
+    assert upper.columns == df.columns
+
+
+def test_audit_loop_reaches_a_fixed_point(spark):
+    from dxweave.plans.audit import audit
+
+    rows = [(i, "t|u", c) for i, c in enumerate(["C1|A", "C1|A", "C2|B", "ERROR: x|A", "None|B"])]
+    df = spark.createDataFrame(rows, "record_id long, diagnosis1 string, diagnosis1_ICD11_Code string")
+    fixed, changes = audit(df)
+    assert changes == [5, 0]
+    assert {r.diagnosis1_ICD11_Code for r in fixed.collect()} == {"C1|A"}
