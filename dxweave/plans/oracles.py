@@ -380,7 +380,7 @@ kept_pairs AS (
 outcome AS (
   SELECT record_id, col_ord,
          CASE WHEN len(codes) = 0 OR pairing IS NOT NULL OR len(clean_terms) = len(codes)
-              THEN nullif(array_to_string(clean_terms, '|'), '') ELSE array_to_string(terms, '|') END AS t,
+              THEN nullif(array_to_string(clean_terms, '|'), '') ELSE nullif(array_to_string(terms, '|'), '') END AS t,
          CASE WHEN pairing = 'all' THEN k.cell ELSE nullif(array_to_string(codes, '|'), '') END AS c
   FROM shaped LEFT JOIN kept_pairs k USING (record_id, col_ord))
 SELECT records.record_id, a.t AS diagnosis1, a.c AS "diagnosis1_ICD11_Code", b.t AS diagnosis2, b.c AS "diagnosis2_ICD11_Code"
