@@ -44,68 +44,87 @@ def search(sub_terms: DataFrame, catalogue: DataFrame, keep: int = 5, hot: int =
       further, and then by *sets* of frequent words: entities with the same set tie, so
       each set is represented by its ``keep`` best.
     """
-    entities = catalogue.select("code", tokens(F.col("title")).alias("words")).withColumn(
-        "length", F.size("words")
-    )
+    entities = catalogue.select("code", tokens(F.col("title")).alias("words"))
+    # Words in more than ``hot`` titles: at most the words of all titles divided by
+    # ``hot``, one small array.
     frequency = (
         entities.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
     )
-    asked = sub_terms.select("sub_term").filter(F.col("sub_term").isNotNull()).distinct()
-
-    def sorted_out(df: DataFrame, key: list[str], words: Column) -> DataFrame:
-        """Words of each row, divided into rare and frequent ones of the catalogue."""
-        spread = df.select(*key, F.explode(words).alias("word")).join(frequency, "word")
-        is_hot = F.col("df") > hot
-        return spread.groupBy(*key).agg(
-            F.array_sort(F.collect_set(F.when(~is_hot, F.col("word")))).alias("rare"),
-            F.array_sort(F.collect_set(F.when(is_hot, F.col("word")))).alias("common"),
-        )
-
-    described = sorted_out(entities, ["code", "length"], F.col("words"))
-    queries = sorted_out(asked, ["sub_term"], tokens(F.col("sub_term")))
+    frequent = frequency.filter(F.col("df") > hot).agg(F.array_sort(F.collect_set("word"))).scalar()
+    def divided(words: Column) -> list[Column]:
+        """Rare words, frequent words, and a short key for the set of the latter."""
+        common = F.array_intersect(words, frequent)
+        return [
+            F.array_except(words, frequent).alias("rare"),
+            common.alias("common"),
+            F.md5(F.array_join(common, " ").cast("binary")).alias("set_key"),
+        ]
+
+    described = entities.select("code", F.size("words").alias("length"), *divided(F.col("words")))
+    # Inside, a sub-term goes by its hash: texts may be long and are shuffled often.
+    asked = (
+        sub_terms.select("sub_term")
+        .filter(F.col("sub_term").isNotNull())
+        .distinct()
+        .select("sub_term", F.md5(F.col("sub_term").cast("binary")).alias("key"))
+    )
+    queries = asked.select("key", tokens(F.col("sub_term")).alias("words")).select(
+        "key", *divided(F.col("words"))
+    )
     order = [F.desc("score"), F.asc("length"), F.asc("code")]
 
     def best(df: DataFrame, key: str) -> DataFrame:
         place = Window.partitionBy(key).orderBy(*order)
         return df.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= keep)
 
-    by_word = queries.select("sub_term", F.col("common").alias("q"), F.explode("rare").alias("word")).join(
+    by_word = queries.select("key", F.col("common").alias("q"), F.explode("rare").alias("word")).join(
         described.select("code", "length", F.col("common").alias("e"), F.explode("rare").alias("word")),
         "word",
     )
-    shared_rare = by_word.groupBy("sub_term", "code", "length").agg(
+    shared_rare = by_word.groupBy("key", "code", "length").agg(
         (F.count("*") + F.max(F.size(F.array_intersect("q", "e")))).alias("score")
     )
-    first = best(shared_rare, "sub_term").drop("rank")
+    first = best(shared_rare, "key").drop("rank")
 
-    reached = first.groupBy("sub_term").agg(F.count("*").alias("n"), F.min("score").alias("worst"))
+    reached = first.groupBy("key").agg(F.count("*").alias("n"), F.min("score").alias("worst"))
     undecided = (
         queries.filter(F.size("common") > 0)
-        .join(reached, "sub_term", "left")
+        .select("key", "common", "set_key")
+        .join(reached, "key", "left")
         .filter((F.coalesce("n", F.lit(0)) < keep) | (F.col("worst") <= F.size("common")))
-        .select("sub_term", "common")
     )
-    asked_sets = undecided.select("common").distinct()
-    per_set = Window.partitionBy("set").orderBy("length", "code")
+    # Few bytes that fan out: a fixed number of partitions keeps them from being coalesced,
+    # and everything up to the best entities of a set stays where the set is.
+    partitions = int(sub_terms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked_sets = (
+        undecided.select("set_key", "common")
+        .repartition(partitions, "set_key")
+        .groupBy("set_key")
+        .agg(F.any_value("common").alias("common"))
+    )
+    per_set = Window.partitionBy("e_key").orderBy("length", "code")
     representatives = (
         described.filter(F.size("common") > 0)
-        .select("code", "length", F.col("common").alias("set"))
+        .select("code", "length", "common", F.col("set_key").alias("e_key"))
         .withColumn("nth", F.row_number().over(per_set))
         .filter(F.col("nth") <= keep)
-        .drop("nth")
     )
-    entity_sets = representatives.select("set").distinct()
+    entity_sets = representatives.filter(F.col("nth") == 1)
     overlap = (
-        asked_sets.select("common", F.explode("common").alias("word"))
-        .join(entity_sets.select("set", F.explode("set").alias("word")), "word")
-        .groupBy("common", "set")
+        asked_sets.select("set_key", F.explode("common").alias("word"))
+        .join(entity_sets.select("e_key", F.explode("common").alias("word")), "word")
+        .groupBy("set_key", "e_key")
         .agg(F.count("*").alias("score"))
     )
-    by_set = best(overlap.join(representatives, "set"), "common").select("common", "code", "length", "score")
-    second = undecided.join(by_set, "common").select("sub_term", "code", "length", "score")
-
-    merged = first.unionByName(second).groupBy("sub_term", "code", "length").agg(F.max("score").alias("score"))
-    return best(merged, "sub_term").select(
+    # Only the best sets can hold the best entities: each set has at least one.
+    nearest = Window.partitionBy("set_key").orderBy(F.desc("score"))
+    overlap = overlap.withColumn("nth", F.rank().over(nearest)).filter(F.col("nth") <= keep).drop("nth")
+    members = representatives.select("code", "length", "e_key")
+    by_set = best(overlap.join(members, "e_key"), "set_key").select("set_key", "code", "length", "score")
+    second = undecided.select("key", "set_key").join(by_set, "set_key").select("key", "code", "length", "score")
+
+    merged = first.unionByName(second).groupBy("key", "code", "length").agg(F.max("score").alias("score"))
+    return best(merged, "key").join(asked, "key").select(
         "sub_term", "code", F.col("score").cast("bigint").alias("score"), "rank"
     )
 

@@ -63,8 +63,9 @@ def map_risk_items(
     coded = dictionary_lookup(judged, dictionary, "token").select(
         "record_id", "pos", F.coalesce("decided", "code").alias("code")
     )
-    per_record = coded.groupBy(F.col("record_id").alias(id_column)).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "code"))).alias("__codes")
+    pieces = coded.select(F.col("record_id").alias(id_column), F.struct("pos", "code").alias("e"))
+    per_record = pieces.repartition(id_column).groupBy(id_column).agg(
+        F.array_sort(F.collect_list("e")).alias("__codes")
     )
     cell = F.array_join(F.transform("__codes", lambda e: e["code"]), "|")
     return (

@@ -139,8 +139,12 @@ def attach_cells(
     cell, the empty string for one that holds only separators.  One shuffle brings the
     codes of a record together; a record is a row of the input, so it is bounded.
     """
-    per_record = coded.groupBy(F.col("record_id").alias(id_column)).agg(
-        F.array_sort(F.collect_list(F.struct("col_ord", "pos", "code"))).alias("__codes")
+    pieces = coded.select(
+        F.col("record_id").alias(id_column), F.struct("col_ord", "pos", "code").alias("e")
+    )
+    # Nothing can be combined before the shuffle, so the rows go straight to it.
+    per_record = pieces.repartition(id_column).groupBy(id_column).agg(
+        F.array_sort(F.collect_list("e")).alias("__codes")
     )
 
     def cell(i: int, column: str) -> Column:

@@ -18,6 +18,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of long texts.  A file with one row group is one task on any number of
+    cores, so a table of fewer files than cores is dealt out; a large one is not touched.
+    """
+    df = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def record_lines(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order line: its record, its place in it, and the raw material."""
     part = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand", "p_type")
@@ -61,8 +70,12 @@ def wide_records(lines: DataFrame, term: Column, code: Column, drop_cells: bool)
     ``place`` orders the lines of a record.  With ``drop_cells`` some records lose all
     their codes and some all their terms.
     """
-    grouped = lines.groupBy("record_id").agg(
-        F.array_sort(F.collect_list(F.struct("place", term.alias("term"), code.alias("code")))).alias("e"),
+    # Collecting whole records has nothing to combine on the map side: shuffle rows once.
+    entries = lines.select(
+        "record_id", "l_shipdate", F.struct("place", term.alias("term"), code.alias("code")).alias("e")
+    ).repartition("record_id")
+    grouped = entries.groupBy("record_id").agg(
+        F.array_sort(F.collect_list("e")).alias("e"),
         F.date_format(F.min("l_shipdate"), "yyyy-MM-dd").alias("admission_date"),
     )
 
@@ -128,12 +141,12 @@ def bracketed_documents(spark: SparkSession, folder: str) -> DataFrame:
     text = F.col("text")
     for old, new in ((" the ", " (the "), (" of ", " of) "), (" de ", " [de "), (" la ", " la】 ")):
         text = F.replace(text, F.lit(old), F.lit(new))
-    return table(spark, folder, "documents").select("doc_id", text.alias("text"))
+    return text_table(spark, folder, "documents").select("doc_id", text.alias("text"))
 
 
 def document_lines(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, pos, line)"""
-    return table(spark, folder, "documents").select(
+    return text_table(spark, folder, "documents").select(
         "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")
     )
 

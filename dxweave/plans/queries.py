@@ -134,7 +134,7 @@ def connector_split(spark, folder):
 
 @query
 def marker_split(spark, folder):
-    documents = B.table(spark, folder, "documents")
+    documents = B.text_table(spark, folder, "documents")
     return documents.select("doc_id", C.clean_risk(F.col("text"), B.DOCUMENT_RISK_PACK).alias("terms"))
 
 
@@ -158,7 +158,7 @@ def legacy_protected(spark, folder):
 
 @query
 def strip_html(spark, folder):
-    return B.table(spark, folder, "pages").select("page_id", X.strip_html(F.col("html")).alias("plain"))
+    return B.text_table(spark, folder, "pages").select("page_id", X.strip_html(F.col("html")).alias("plain"))
 
 
 @query
