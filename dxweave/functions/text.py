@@ -57,7 +57,11 @@ def any_of(words: Sequence[str]) -> str:
     return "|".join(escape(w) for w in sorted(words, key=lambda w: (-len(w), w)))
 
 
-BLANK = char_class(BLANKS)
+# The same characters as a class of ranges, which matches faster than a list.
+_WIDE_BLANKS = "\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANK = f"[\t-\r\x1c- {_WIDE_BLANKS}]"
+# A run of blanks that is not already one space.
+_UNEVEN_BLANKS = f"[\t-\r\x1c-\x1f{_WIDE_BLANKS}]{BLANK}*| {BLANK}+"
 
 
 # -- blanks, nulls, lists -----------------------------------------------------
@@ -82,6 +86,7 @@ def trimmed_nonempty(parts: Column) -> Column:
 
 
 def split_pipe(c: Column) -> Column:
+    """Pieces of a pipe list, trimmed, blank ones dropped."""
     return trimmed_nonempty(F.split(nullish_to_empty(c), r"\|"))
 
 
@@ -262,11 +267,17 @@ def is_usable_code(code: Column) -> Column:
 # -- normalisation and noise --------------------------------------------------
 
 
+def normalize_trimmed(term: Column) -> Column:
+    """``normalize_term`` for a term that is neither null nor has blanks at its ends."""
+    text = F.when(F.lower(term) == "nan", F.lit("")).otherwise(term)
+    visible = F.regexp_replace(text, f"[{INVISIBLE}]", "")
+    single_spaced = F.regexp_replace(visible, _UNEVEN_BLANKS, " ")
+    return F.rtrim(F.ltrim(single_spaced, F.lit(LEADING_NOISE)), F.lit(TRAILING_NOISE))
+
+
 def normalize_term(c: Column) -> Column:
     """The form in which terms are compared and counted."""
-    visible = F.regexp_replace(nullish_to_empty(c), f"[{INVISIBLE}]", "")
-    single_spaced = F.regexp_replace(visible, BLANK + "+", " ")
-    return F.rtrim(F.ltrim(single_spaced, F.lit(LEADING_NOISE)), F.lit(TRAILING_NOISE))
+    return normalize_trimmed(ws_trim(F.coalesce(c, F.lit(""))))
 
 
 def noise_reason(normalized: Column) -> Column:

@@ -25,7 +25,7 @@ def candidates_of(response: Column, keep: int = 5) -> Column:
 
 def tokens(text: Column) -> Column:
     words = F.split(F.lower(text), r"[^\p{L}\p{N}]+")
-    return F.array_sort(F.array_distinct(F.filter(words, lambda w: w != "")))
+    return F.sort_array(F.array_distinct(F.filter(words, lambda w: w != "")))
 
 
 def search(sub_terms: DataFrame, catalogue: DataFrame, keep: int = 5, hot: int = 1000) -> DataFrame:
@@ -50,7 +50,7 @@ def search(sub_terms: DataFrame, catalogue: DataFrame, keep: int = 5, hot: int =
     frequency = (
         entities.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
     )
-    frequent = frequency.filter(F.col("df") > hot).agg(F.array_sort(F.collect_set("word"))).scalar()
+    frequent = frequency.filter(F.col("df") > hot).agg(F.sort_array(F.collect_set("word"))).scalar()
     def divided(words: Column) -> list[Column]:
         """Rare words, frequent words, and a short key for the set of the latter."""
         common = F.array_intersect(words, frequent)
@@ -135,7 +135,7 @@ def as_candidates(ranked: DataFrame, catalogue: DataFrame) -> DataFrame:
     entry = F.struct("rank", "code", "title", F.lit(None).cast("string").alias("chapter"))
     return titled.groupBy("sub_term").agg(
         F.transform(
-            F.array_sort(F.collect_list(entry)),
+            F.sort_array(F.collect_list(entry)),
             lambda e: F.struct(e["code"].alias("code"), e["title"].alias("title"), e["chapter"].alias("chapter")),
         ).alias("candidates")
     )

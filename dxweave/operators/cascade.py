@@ -119,7 +119,7 @@ def code_terms(
     # One row per sub-term of a single term: a handful.
     per_term = parts.withColumn("sub_code", sub_code).groupBy("term").agg(
         *[F.max(c).alias(c) for c in ("cached", "ruled", "judged", "settled", "unsplit")],
-        F.array_sort(F.collect_list(F.struct("pos", "sub_code"))).alias("found"),
+        F.sort_array(F.collect_list(F.struct("pos", "sub_code"))).alias("found"),
     )
     codes = F.filter(F.transform("found", lambda e: e["sub_code"]), lambda c: c.isNotNull())
     code = F.coalesce(
@@ -169,12 +169,12 @@ def rule_set_version(lines: DataFrame, key: Sequence[str] = (), chunk_lines: int
     chunks = (
         lines.withColumn("chunk", F.floor(F.col("line") / chunk_lines))
         .groupBy(*key, "chunk")
-        .agg(F.array_sort(F.collect_list(F.struct("line", sentence.alias("text")))).alias("l"))
+        .agg(F.sort_array(F.collect_list(F.struct("line", sentence.alias("text")))).alias("l"))
         .withColumn("text", F.array_join(F.transform("l", lambda e: e["text"]), "\n"))
         .withColumn("hash", F.md5(F.col("text").cast("binary")))
     )
     sets = chunks.groupBy(*key).agg(
-        F.array_sort(F.collect_list(F.struct("chunk", "hash"))).alias("h")
+        F.sort_array(F.collect_list(F.struct("chunk", "hash"))).alias("h")
     )
     whole = F.when(F.size("h") == 1, F.get("h", F.lit(0))["hash"]).otherwise(
         F.md5(F.array_join(F.transform("h", lambda e: e["hash"]), "").cast("binary"))

@@ -73,7 +73,7 @@ def cell_flags(annotated: DataFrame) -> DataFrame:
             F.array(_flag("MISSING_CODE", F.lit(V.DETAIL_MISSING_CODE), clean_terms, nothing, empty, 1, 0)),
         )
         .when(
-            F.size(terms) == 0,
+            (F.size(terms) == 0) & (F.size(codes) > 0),
             F.array(_flag("MISSING_TERM", F.lit(V.DETAIL_MISSING_TERM), empty, nothing, code_text, 1, 0)),
         )
         .when(

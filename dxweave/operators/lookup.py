@@ -65,7 +65,7 @@ def map_risk_items(
     )
     pieces = coded.select(F.col("record_id").alias(id_column), F.struct("pos", "code").alias("e"))
     per_record = pieces.repartition(id_column).groupBy(id_column).agg(
-        F.array_sort(F.collect_list("e")).alias("__codes")
+        F.sort_array(F.collect_list("e")).alias("__codes")
     )
     cell = F.array_join(F.transform("__codes", lambda e: e["code"]), "|")
     return (

@@ -41,7 +41,7 @@ def annotate_cells(cells: DataFrame) -> DataFrame:
     """
     norms = F.transform(
         F.col("terms"),
-        lambda t, i: F.struct(t.alias("term"), X.normalize_term(t).alias("norm"), i.alias("at")),
+        lambda t, i: F.struct(t.alias("term"), X.normalize_trimmed(t).alias("norm"), i.alias("at")),
     )
     judged = F.transform(
         F.col("norms"),
@@ -74,7 +74,8 @@ def annotate_cells(cells: DataFrame) -> DataFrame:
 def cell_pairs(annotated: DataFrame) -> DataFrame:
     """One row per aligned (term, code), noise terms included (``reason`` is set)."""
     zipped = F.arrays_zip("aligned", "codes")
-    rows = annotated.filter(F.col("aligned").isNotNull()).select(
+    # A cell that cannot be paired has a null list here and so gives no row.
+    rows = annotated.select(
         "record_id", "uuid", "admission_date", "col_ord", "column",
         F.posexplode(zipped).alias("pos", "pair"),
     )
@@ -127,7 +128,7 @@ def reverse_report(pairs: DataFrame, terms_per_row: int = 10_000) -> DataFrame:
         stats.join(sizes, "code")
         .withColumn("part", F.pmod(F.xxhash64("normalized_term"), F.col("parts")))
         .groupBy("code", "part")
-        .agg(F.array_sort(F.collect_list(entry)).alias("e"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("e"))
         .select(
             "code",
             "part",

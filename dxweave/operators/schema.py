@@ -97,7 +97,11 @@ def terms_long(df: DataFrame, columns: Sequence[str], id_column: str = "record_i
 def pair_cells(
     df: DataFrame, pairs: Sequence[tuple[str, str]], id_column: str = "record_id"
 ) -> DataFrame:
-    """Wide to long over term/code pairs, lists decoded; cells empty on both sides drop."""
+    """Wide to long over term/code pairs, lists decoded.
+
+    Cells that are empty on both sides stay: to filter on the decoded lists would decode
+    every cell twice, and no rule finds anything in them.
+    """
 
     def passed(name: str) -> Column:
         return F.col(name) if name in df.columns else F.lit("")
@@ -117,12 +121,11 @@ def pair_cells(
         passed("admission_date").alias("admission_date"),
         F.inline(F.array(*entries)),
     )
-    lists = cells.select(
+    return cells.select(
         "record_id", "uuid", "admission_date", "col_ord", "column",
         X.split_pipe(F.col("term_cell")).alias("terms"),
         X.split_pipe(F.col("code_cell")).alias("codes"),
     )
-    return lists.filter((F.size("terms") > 0) | (F.size("codes") > 0))
 
 
 def attach_cells(
@@ -144,7 +147,7 @@ def attach_cells(
     )
     # Nothing can be combined before the shuffle, so the rows go straight to it.
     per_record = pieces.repartition(id_column).groupBy(id_column).agg(
-        F.array_sort(F.collect_list("e")).alias("__codes")
+        F.sort_array(F.collect_list("e")).alias("__codes")
     )
 
     def cell(i: int, column: str) -> Column:

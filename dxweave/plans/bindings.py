@@ -75,7 +75,7 @@ def wide_records(lines: DataFrame, term: Column, code: Column, drop_cells: bool)
         "record_id", "l_shipdate", F.struct("place", term.alias("term"), code.alias("code")).alias("e")
     ).repartition("record_id")
     grouped = entries.groupBy("record_id").agg(
-        F.array_sort(F.collect_list("e")).alias("e"),
+        F.sort_array(F.collect_list("e")).alias("e"),
         F.date_format(F.min("l_shipdate"), "yyyy-MM-dd").alias("admission_date"),
     )
 

@@ -124,3 +124,17 @@ def test_column_discovery():
     for call in (lambda: S.term_columns(["a"]), lambda: S.term_columns(["a"], "b"), lambda: S.code_pairs(["a"])):
         with pytest.raises(ValueError):
             call()
+
+
+def test_reverse_report_file(spark, tmp_path):
+    import json
+
+    from dxweave.sources.writers import write_reverse_report
+
+    rows = [(i, [("甲|乙|乙", "C1|C1|C1"), ("丙", "C0")]) for i in range(2)]
+    pairs = P.cell_pairs(P.annotate_cells(cells(spark, rows)))
+    write_reverse_report(P.reverse_report(pairs), str(tmp_path / "report"))
+    lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "report")).collect()]
+    assert [(x["code"], list(x["terms"].items())) for x in sorted(lines, key=lambda x: x["code"])] == [
+        ("C0", [("丙", 2)]), ("C1", [("乙", 4), ("甲", 2)]),
+    ]

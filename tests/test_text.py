@@ -11,6 +11,9 @@ from dxweave.functions import text as X
 def test_blank_and_digit_classes_cover_unicode(apply):
     points = [chr(i) for i in range(1, 0x110000) if not 0xD800 <= i <= 0xDFFF]
     assert set(X.BLANKS) == {c for c in points if c.isspace()}
+    import re
+
+    assert {c for c in points if re.fullmatch(X.BLANK, c)} == set(X.BLANKS)
     digits = [c for c in points if c.isdigit()]
     other = [c for c in points[:: 97] if not c.isdigit()]
     missed = [c for c, ok in zip(digits, apply(X.is_digits, digits)) if not ok]
