@@ -51,16 +51,21 @@ def search(sub_terms: DataFrame, catalogue: DataFrame, keep: int = 5, hot: int =
         entities.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
     )
     frequent = frequency.filter(F.col("df") > hot).agg(F.sort_array(F.collect_set("word"))).scalar()
-    def divided(words: Column) -> list[Column]:
-        """Rare words, frequent words, and a short key for the set of the latter."""
-        common = F.array_intersect(words, frequent)
-        return [
-            F.array_except(words, frequent).alias("rare"),
-            common.alias("common"),
-            F.md5(F.array_join(common, " ").cast("binary")).alias("set_key"),
-        ]
-
-    described = entities.select("code", F.size("words").alias("length"), *divided(F.col("words")))
+    def divided(df: DataFrame, key: list[str]) -> DataFrame:
+        """Rare words as they are; frequent ones as numbers, and a short key for their set."""
+        common = F.array_intersect("words", "frequent")
+        return (
+            df.withColumn("frequent", frequent)
+            .select(*key, F.array_except("words", "frequent").alias("rare"), common.alias("shared"), "frequent")
+            .select(
+                *key,
+                "rare",
+                F.transform("shared", lambda w: F.array_position("frequent", w).cast("int")).alias("common"),
+                F.md5(F.array_join("shared", " ").cast("binary")).alias("set_key"),
+            )
+        )
+
+    described = divided(entities.withColumn("length", F.size("words")), ["code", "length"])
     # Inside, a sub-term goes by its hash: texts may be long and are shuffled often.
     asked = (
         sub_terms.select("sub_term")
@@ -68,9 +73,7 @@ def search(sub_terms: DataFrame, catalogue: DataFrame, keep: int = 5, hot: int =
         .distinct()
         .select("sub_term", F.md5(F.col("sub_term").cast("binary")).alias("key"))
     )
-    queries = asked.select("key", tokens(F.col("sub_term")).alias("words")).select(
-        "key", *divided(F.col("words"))
-    )
+    queries = divided(asked.select("key", tokens(F.col("sub_term")).alias("words")), ["key"])
     order = [F.desc("score"), F.asc("length"), F.asc("code")]
 
     def best(df: DataFrame, key: str) -> DataFrame:
