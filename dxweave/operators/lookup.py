@@ -41,7 +41,7 @@ def context_rule_code(token: Column, context: Column, rules: V.ContextRules) ->
     )
 
 
-def map_risk_items(
+def code_risk_items(
     df: DataFrame,
     dictionary: DataFrame,
     rules: V.ContextRules = V.ContextRules(),

@@ -223,7 +223,7 @@ def dictionary_map(spark, folder):
 
 @query
 def context_rules(spark, folder):
-    mapped = L.map_risk_items(B.order_risks(spark, folder), B.order_dictionary(spark, folder), B.ORDER_RULES)
+    mapped = L.code_risk_items(B.order_risks(spark, folder), B.order_dictionary(spark, folder), B.ORDER_RULES)
     return mapped.select("record_id", F.col(V.RISK_COLUMN + V.CODE_SUFFIX).alias("risk_codes"))
 
 

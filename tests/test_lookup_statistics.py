@@ -33,11 +33,11 @@ def test_risk_items(spark):
     df = spark.createDataFrame(
         [r[:4] for r in rows], f"record_id long, `{V.RISK_COLUMN}` string, `{V.INDICATION_COLUMN}` string, `{V.COMPLICATION_COLUMN}` string"
     )
-    out = L.map_risk_items(df, book)
+    out = L.code_risk_items(df, book)
     assert {r.record_id: r[V.RISK_COLUMN + V.CODE_SUFFIX] for r in out.collect()} == {r[0]: r[4] for r in rows}
     L.assert_same_height(df, out)
     alone = df.select("record_id", V.RISK_COLUMN)
-    assert L.map_risk_items(alone, book).count() == len(rows)
+    assert L.code_risk_items(alone, book).count() == len(rows)
 
 
 def test_prevalence_in_all_switch_settings(spark):
