@@ -6,14 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dxweave.llm import packing, token_counts, url_filters
+from dxweave.llm import byte_bpe, packing, quality, token_counts, toxicity, url_filters
 from dxweave.llm.common import table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode_decode(table(spark, sf_dir, "documents"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -22,10 +31,21 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels with remainder 1 are held out: the model never sees them."""
+    docs, held_out = table(spark, sf_dir, "documents"), toxicity.in_part("doc_id", 3)
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "n_passages")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_byte_level_bpe": op4_byte_level_bpe,
     "op5_url_filters": op5_url_filters,
     "op6_token_counts": op6_token_counts,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLES: dict[str, str] = {
