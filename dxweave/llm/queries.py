@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dxweave.llm import byte_bpe, packing, quality, token_counts, toxicity, url_filters
+from dxweave.llm import byte_bpe, packing, quality, substrings, token_counts, toxicity, url_filters
 from dxweave.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels with remainder 1 are held out: the model never sees them."""
     docs, held_out = table(spark, sf_dir, "documents"), toxicity.in_part("doc_id", 3)
@@ -45,9 +49,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_level_bpe": op4_byte_level_bpe,
     "op5_url_filters": op5_url_filters,
     "op6_token_counts": op6_token_counts,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_toxicity": op8_toxicity,
 }
 
 ORACLES: dict[str, str] = {
     "op5_url_filters": url_filters.ORACLE,
+    "op7_substring_dedup": substrings.ORACLE,
 }
