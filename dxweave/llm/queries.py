@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dxweave.llm import byte_bpe, packing, quality, substrings, token_counts, toxicity, url_filters
+from dxweave.llm import byte_bpe, near_duplicates, packing, quality, substrings, token_counts, toxicity, url_filters
 from dxweave.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.classes(table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_order_minhash": op2_order_minhash,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_byte_level_bpe": op4_byte_level_bpe,
     "op5_url_filters": op5_url_filters,
