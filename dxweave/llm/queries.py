@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dxweave.llm import byte_bpe, near_duplicates, packing, quality, substrings, token_counts, toxicity, url_filters
+from dxweave.llm import byte_bpe, embeddings, language_model, near_duplicates, packing, quality, substrings, token_counts, toxicity, url_filters
 from dxweave.llm.common import table
 
 
@@ -47,6 +47,17 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "n_passages")
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_copies(table(spark, sf_dir, "embeddings"))
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with remainder 1 are held out: the model never sees them."""
+    docs, held_out = table(spark, sf_dir, "documents"), toxicity.in_part("doc_id", 5)
+    scored = language_model.score(docs, docs.where(~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_order_minhash": op2_order_minhash,
@@ -56,9 +67,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_toxicity": op8_toxicity,
+    "op9_embedding_dedup": op9_embedding_dedup,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLES: dict[str, str] = {
     "op5_url_filters": url_filters.ORACLE,
     "op7_substring_dedup": substrings.ORACLE,
+    "op9_embedding_dedup": embeddings.ORACLE,
 }
