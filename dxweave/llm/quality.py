@@ -198,6 +198,27 @@ def _may_repeat(doc: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
 # ---- the operator --------------------------------------------------------------------------
 
 
+@dataclass
+class Verdicts:
+    n_words: np.ndarray
+    repeated: np.ndarray
+    failed: np.ndarray
+    probability: np.ndarray | None
+    kept: np.ndarray
+
+
+def _verdicts(texts: list[bytes], features: Features, model: Model | None, keep_at: float) -> Verdicts:
+    parts = [t.split() for t in texts]
+    doc, hashes = features.words(parts)
+    n_words = np.array([len(p) for p in parts], np.int64)
+    repeated = np.zeros(len(parts), np.int64)
+    for i in np.flatnonzero(_may_repeat(doc, hashes, len(parts))):
+        repeated[i] = _repeated_words(parts[i])
+    failed = (n_words < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n_words)
+    probability = model.probability(_margins(model, features, texts, doc, hashes)) if model else None
+    return Verdicts(n_words, repeated, failed, probability, ~failed & (probability >= keep_at if model else True))
+
+
 def judge(
     docs: DataFrame, model: Model | None, keep_at: float = KEEP_AT, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -215,28 +236,33 @@ def judge(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, own = Features(), shared.value
+        features = Features()
         for batch, texts in common.pieces(batches):
-            parts = [t.split() for t in texts]
-            doc, hashes = features.words(parts)
-            n_words = np.array([len(p) for p in parts], np.int64)
-            repeated = np.zeros(len(parts), np.int64)
-            for i in np.flatnonzero(_may_repeat(doc, hashes, len(parts))):
-                repeated[i] = _repeated_words(parts[i])
-            failed = (n_words < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n_words)
-            probability = own.probability(_margins(own, features, texts, doc, hashes)) if own else None
-            good = probability >= keep_at if own else np.ones(len(parts), bool)
+            v = _verdicts(texts, features, shared.value, keep_at)
             columns = [
                 batch.column(0),
-                pa.array(n_words),
+                pa.array(v.n_words),
                 pa.array([len(t.translate(None, _SPACE).decode()) for t in texts], pa.int64()),
                 pa.array([len(t) - len(t.translate(None, _SYMBOLS)) for t in texts], pa.int64()),
                 pa.array([_duplicate_lines(t) for t in texts], pa.int64()),
-                pa.array(repeated),
-                pa.array(failed),
-                pa.array(probability) if own else pa.nulls(len(parts), pa.float64()),
-                pa.array(~failed & good),
+                pa.array(v.repeated),
+                pa.array(v.failed),
+                pa.nulls(len(texts), pa.float64()) if v.probability is None else pa.array(v.probability),
+                pa.array(v.kept),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SCHEMA.split(", ")])
 
     return rows.mapInArrow(run, SCHEMA)
+
+
+def keep(docs: DataFrame, model: Model | None, keep_at: float = KEEP_AT, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns; judged and filtered in one pass."""
+    common.known_to_workers(docs.sparkSession)
+    shared, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features()
+        for batch, texts in common.pieces(batches, place):
+            yield batch.filter(pa.array(_verdicts(texts, features, shared.value, keep_at).kept))
+
+    return docs.mapInArrow(run, docs.schema)

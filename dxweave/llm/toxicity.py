@@ -22,6 +22,8 @@ BITS = 20
 PRIOR, SIGNIFICANT = 0.5, 3.0
 #: A segment is a toxic passage if so many segments as good or fewer are expected by chance in a clean document.
 MAX_EXPECTED = 0.05
+#: A document is called toxic from this probability on.
+PREDICT_AT = 0.7
 #: Beyond this a document feature says no more.
 MOST = 40.0
 #: What a token without a toxic form costs a segment.
@@ -213,10 +215,26 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
 # ---- the operator --------------------------------------------------------------------------
 
 
+def _judged(texts: list[bytes], known: Tokens, model: Model | None) -> tuple[np.ndarray, list[list[dict]]]:
+    """Probability of every text, and its toxic passages."""
+    parts = [t.split() for t in texts]
+    if model is None or model.beta is None:
+        return np.zeros(len(parts)), [[] for _ in parts]
+    scores, at = _token_scores(model, known, parts), 0
+    x, listed = np.zeros((len(parts), 2)), []
+    for i, p in enumerate(parts):
+        found = segments(scores[at : at + len(p)])
+        at += len(p)
+        x[i] = _features(model, found, len(p))
+        likely = [(s, e, v, float(model.expected(v, len(p)))) for s, e, v in found]
+        listed.append([{"first": s, "words": e - s, "score": v, "expected": x} for s, e, v, x in likely if x < MAX_EXPECTED])
+    return labelled.sigmoid(x @ model.beta[:2] + model.beta[2]), listed
+
+
 def score(
     docs: DataFrame,
     model: Model | None,
-    predict_at: float = 0.7,
+    predict_at: float = PREDICT_AT,
     doc_id: str = "doc_id",
     text: str = "text",
     passages: bool = False,
@@ -233,43 +251,38 @@ def score(
     """
     rows = common.rows(docs, doc_id, text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    kind = pa.struct([("first", pa.int32()), ("words", pa.int32()), ("score", pa.float64()), ("expected", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, own = Tokens(), shared.value
+        known = Tokens()
         for batch, texts in common.pieces(batches):
-            parts = [t.split() for t in texts]
-            scores = _token_scores(own, known, parts) if own else None
-            at, x, listed = 0, np.zeros((len(parts), 2)), []
-            for i, p in enumerate(parts):
-                found = segments(scores[at : at + len(p)]) if own else []
-                at += len(p)
-                if own:
-                    x[i] = _features(own, found, len(p))
-                listed.append(
-                    [
-                        {"first": s, "words": e - s, "score": v, "expected": expected}
-                        for s, e, v in found
-                        if (expected := float(own.expected(v, len(p)))) < MAX_EXPECTED
-                    ]
-                )
-            if own and own.beta is not None:
-                probability = labelled.sigmoid(x @ own.beta[:2] + own.beta[2])
-            else:
-                probability = np.zeros(len(parts))
-            columns = [
-                batch.column(0), pa.array(probability), pa.array((probability >= predict_at).astype(np.int32)),
-                pa.array([len(found) for found in listed], pa.int32()),
-            ]
-            names = ["doc_id", "score", "predicted", "n_passages"]
+            probability, listed = _judged(texts, known, shared.value)
+            columns = {
+                "doc_id": batch.column(0),
+                "score": pa.array(probability),
+                "predicted": pa.array((probability >= predict_at).astype(np.int32)),
+                "n_passages": pa.array([len(found) for found in listed], pa.int32()),
+            }
             if passages:
-                kind = pa.struct([("first", pa.int32()), ("words", pa.int32()), ("score", pa.float64()), ("expected", pa.float64())])
-                columns.append(pa.array(listed, pa.list_(kind)))
-                names.append("passages")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                columns["passages"] = pa.array(listed, pa.list_(kind))
+            yield pa.RecordBatch.from_pydict(columns)
 
     return rows.mapInArrow(run, SCHEMA + (PASSAGES if passages else ""))
 
 
+def keep(docs: DataFrame, model: Model | None, predict_at: float = PREDICT_AT, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``score`` does not call toxic, with all their columns; one pass."""
+    common.known_to_workers(docs.sparkSession)
+    shared, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Tokens()
+        for batch, texts in common.pieces(batches, place):
+            yield batch.filter(pa.array(_judged(texts, known, shared.value)[0] < predict_at))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def in_part(doc_id: str, modulus: int, remainder: int = 1):
     """Whether the crc32 of an id as text has this remainder; false for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
