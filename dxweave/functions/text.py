@@ -98,14 +98,47 @@ def join_pipe(parts: Column) -> Column:
 # -- splitting ----------------------------------------------------------------
 
 
+#: Stands for a cut while a cell is put together again; not a character of any text (a Unicode noncharacter).
+_CUT = "\uffff"
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often a lambda inside it is called."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _depths(deltas: Column) -> Column:
+    """The depth before each of the steps +1, 0, -1; a depth never falls below 0.
+
+    Steps are taken in blocks of about the square root of their number: first the depth at which each
+    block starts, with numbers alone, then the depths inside.  A list only grows within its block.
+    """
+
+    def down(depth: Column, delta: Column) -> Column:
+        return F.greatest(depth + delta, F.lit(0))
+
+    def scan(start: Column, items: Column, step) -> Column:
+        empty = F.struct(start.alias("at"), F.array().cast("array<int>").alias("list"))
+        grown = lambda s, x: F.struct(step(s["at"], x).alias("at"), F.concat(s["list"], F.array(s["at"])).alias("list"))
+        return F.aggregate(items, empty, grown, lambda s: s["list"])
+
+    def of_blocks(blocks: Column) -> Column:
+        starts = scan(F.lit(0), blocks, lambda depth, block: F.aggregate(block, depth, down))
+        return F.flatten(F.zip_with(blocks, starts, lambda block, start: scan(start, block, down)))
+
+    width = F.ceil(F.sqrt(F.size(deltas))).cast("int")
+    cut = F.transform(F.sequence(F.lit(1), F.size(deltas), width), lambda i: F.slice(deltas, i, width))
+    return _let(cut, of_blocks)
+
+
 def depth_split(c: Column, separators: str = V.TERM_SEPARATORS) -> Column:
     """Split on separators that stand outside brackets.
 
     All bracket kinds share one counter: any closer undoes any opener, surplus closers
     are ignored and an opener that is never closed shields the rest of the cell.  Cells
     without a bracket take a plain ``split``.  The others are cut into runs (a flat
-    bracket pair, a lone bracket, or text without brackets) and folded once, carrying
-    the depth, the finished parts and the part under construction.
+    bracket pair, a lone bracket, or text without brackets); the separators of runs at depth 0
+    become cuts.
     """
     brackets = V.OPENING_BRACKETS + V.CLOSING_BRACKETS
     opening, closing = char_class(V.OPENING_BRACKETS), char_class(V.CLOSING_BRACKETS)
@@ -115,37 +148,18 @@ def depth_split(c: Column, separators: str = V.TERM_SEPARATORS) -> Column:
         c, F.lit(f"{opening}{plain}*{closing}|{char_class(brackets)}|{plain}+"), F.lit(0)
     )
 
-    def step(state: Column, run: Column) -> Column:
-        depth, parts, current = state["depth"], state["parts"], state["current"]
-        opens = run.rlike("^" + opening)
-        closes = run.rlike("^" + closing)
-        pieces = F.split(run, separator)
-        extended = F.concat(current, run)
-        cut = (depth == 0) & ~opens & ~closes & (F.size(pieces) > 1)
-        next_depth = (
-            F.when(opens & (F.char_length(run) == 1), depth + 1)
-            .when(closes, F.greatest(depth - 1, F.lit(0)))
-            .otherwise(depth)
-        )
-        finished = F.concat(
-            parts,
-            F.array(F.concat(current, F.get(pieces, F.lit(0)))),
-            F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 2, F.lit(0))),
-        )
-        return F.struct(
-            next_depth.alias("depth"),
-            F.when(cut, finished).otherwise(parts).alias("parts"),
-            F.when(cut, F.element_at(pieces, -1)).otherwise(extended).alias("current"),
-        )
-
-    start = F.struct(
-        F.lit(0).alias("depth"),
-        F.array().cast("array<string>").alias("parts"),
-        F.lit("").alias("current"),
-    )
-    folded = F.aggregate(
-        runs, start, step, lambda s: F.concat(s["parts"], F.array(s["current"]))
-    )
+    def delta(run: Column) -> Column:
+        opens = run.rlike("^" + opening) & (F.char_length(run) == 1)
+        return F.when(opens, 1).when(run.rlike("^" + closing), -1).otherwise(0)
+
+    def cut(run: Column, depth: Column) -> Column:
+        return F.when((depth == 0) & ~run.rlike("^" + char_class(brackets)), F.regexp_replace(run, separator, _CUT)).otherwise(run)
+
+    def marked(all_runs: Column) -> Column:
+        depths = _let(F.transform(all_runs, delta), _depths)
+        return F.array_join(F.zip_with(all_runs, depths, cut), "")
+
+    folded = F.split(_let(runs, marked), _CUT)
     parts = F.when(c.rlike(char_class(brackets)), folded).otherwise(F.split(c, separator))
     return trimmed_nonempty(parts)
 

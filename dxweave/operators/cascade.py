@@ -20,13 +20,25 @@ from pyspark.sql import functions as F
 from dxweave import vocab as V
 from dxweave.functions import text as X
 from dxweave.operators import schema as S
+from dxweave.session import materialize
 
 Resolver = Callable[[DataFrame], DataFrame]
 
 
 def recorded(replies: DataFrame) -> Resolver:
     """Resolver that serves (term, reply) rows recorded earlier, one per term."""
-    return lambda terms: replies
+
+    def serve(terms: DataFrame) -> DataFrame:
+        return replies
+
+    serve.is_table = True
+    return serve
+
+
+def _asked(resolver: Resolver, questions: DataFrame, purpose: str) -> DataFrame:
+    """The replies of a resolver.  What reads its input is asked once: its replies go to the shared folder."""
+    replies = resolver(questions)
+    return replies if getattr(resolver, "is_table", False) else materialize(replies, purpose)
 
 
 @dataclass(frozen=True)
@@ -69,12 +81,12 @@ def code_terms(
     if resolvers.verdicts is None:
         known = known.withColumn("judged", F.lit(None).cast("string"))
     else:
-        replies = resolvers.verdicts(known.filter(still_open).select("term"))
+        replies = _asked(resolvers.verdicts, known.filter(still_open).select("term"), "verdicts")
         known = known.join(_column(replies, "term", "term", "reply", "reply"), "term", "left")
         known = known.withColumn("judged", X.verdict_code(F.col("reply"))).drop("reply")
     known = known.withColumn("settled", F.coalesce("cached", "ruled", "judged"))
 
-    splits = resolvers.splits(known.filter(F.col("settled").isNull()).select("term"))
+    splits = _asked(resolvers.splits, known.filter(F.col("settled").isNull()).select("term"), "splits")
     known = known.join(_column(splits, "term", "term", "reply", "split_reply"), "term", "left")
     known = known.withColumn("subs", F.when(F.col("settled").isNull(), X.split_terms(F.col("split_reply"))))
     parts = known.select(
@@ -88,10 +100,11 @@ def code_terms(
     if resolvers.verdicts is None:
         parts = parts.withColumn("sub_judged", F.lit(None).cast("string"))
     else:
-        replies = resolvers.verdicts(open_subs.select(F.col("sub").alias("term")).distinct())
+        replies = _asked(resolvers.verdicts, open_subs.select(F.col("sub").alias("term")).distinct(), "verdicts")
         parts = parts.join(_column(replies, "term", "sub_key", "reply", "sub_reply"), "sub_key", "left")
         parts = parts.withColumn("sub_judged", X.verdict_code(F.col("sub_reply"))).drop("sub_reply")
-    found = resolvers.candidates(open_subs.select(F.col("sub").alias("sub_term")).distinct())
+    open_subs = parts.filter(F.col("sub").isNotNull() & F.col("sub_judged").isNull())
+    found = _asked(resolvers.candidates, open_subs.select(F.col("sub").alias("sub_term")).distinct(), "candidates")
     failure = F.col("error") if "error" in found.columns else F.lit(None)
     found = found.select(
         F.col("sub_term").alias("sub_key"), "candidates", failure.cast("string").alias("failure")
@@ -101,7 +114,7 @@ def code_terms(
         choice = F.get("candidates", F.lit(0))["code"]
     else:
         pairs = open_subs.select("term", F.col("sub").alias("sub_term")).distinct()
-        chosen = resolvers.selections(pairs).select(
+        chosen = _asked(resolvers.selections, pairs, "selections").select(
             "term", F.col("sub_term").alias("sub_key"), F.col("reply").alias("choice_reply")
         )
         parts = parts.join(chosen, ["term", "sub_key"], "left")
@@ -150,36 +163,32 @@ def code_table(
     cache: DataFrame | None = None,
     rules: DataFrame | None = None,
     id_column: str = "record_id",
+    once: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """(table with a code cell beside each term column, results per distinct term)."""
+    """(table with a code cell beside each term column, results per distinct term).
+
+    With ``once`` the results are written to the shared folder, and the table is built from there.
+    """
     terms = S.terms_long(df, columns, id_column)
     coded = code_terms(terms, resolvers, cache, rules)
+    if once:
+        coded = materialize(coded, "coded")
     placed = terms.join(coded.select("term", "code"), "term", "left")
     return S.attach_cells(df, placed, columns, id_column), coded
 
 
-def rule_set_version(lines: DataFrame, key: Sequence[str] = (), chunk_lines: int = 4096) -> DataFrame:
-    """First eight hex digits of the md5 of a rule text, per rule set.
+def rule_set_version(lines: DataFrame, key: Sequence[str] = ()) -> DataFrame:
+    """Eight hex digits that change with any rule of a set, per rule set.
 
-    ``lines`` is (…key, line, term, code).  Texts are hashed in chunks of lines; a set
-    that fits one chunk has the hash of its text, a longer one the hash of its chunks'
-    hashes, so that no task ever holds a whole rule set.
+    ``lines`` is (…key, line, term, code).  Every line gives a number, the first 15 hex digits of the md5
+    of its place and sentence; the version is the md5 of how many lines there are and of their sum.
+    Both are combined before the shuffle, so a set has the same version in one piece or in many.
     """
-    sentence = F.format_string("- Rule: If input implies '%s', map to '%s'", "term", "code")
-    chunks = (
-        lines.withColumn("chunk", F.floor(F.col("line") / chunk_lines))
-        .groupBy(*key, "chunk")
-        .agg(F.sort_array(F.collect_list(F.struct("line", sentence.alias("text")))).alias("l"))
-        .withColumn("text", F.array_join(F.transform("l", lambda e: e["text"]), "\n"))
-        .withColumn("hash", F.md5(F.col("text").cast("binary")))
-    )
-    sets = chunks.groupBy(*key).agg(
-        F.sort_array(F.collect_list(F.struct("chunk", "hash"))).alias("h")
-    )
-    whole = F.when(F.size("h") == 1, F.get("h", F.lit(0))["hash"]).otherwise(
-        F.md5(F.array_join(F.transform("h", lambda e: e["hash"]), "").cast("binary"))
-    )
-    return sets.select(*key, F.left(whole, F.lit(8)).alias("version"))
+    sentence = F.format_string("%d- Rule: If input implies '%s', map to '%s'", F.col("line").cast("bigint"), "term", "code")
+    number = F.conv(F.left(F.md5(sentence.cast("binary")), F.lit(15)), 16, 10).cast("decimal(20,0)")
+    sets = lines.withColumn("number", number).groupBy(*key).agg(F.count("*").alias("n"), F.sum("number").alias("total"))
+    whole = F.concat_ws(":", F.col("n").cast("string"), F.col("total").cast("string"))
+    return sets.select(*key, F.left(F.md5(whole.cast("binary")), F.lit(8)).alias("version"))
 
 
 def cache_name(model: str, version: str | None) -> str:

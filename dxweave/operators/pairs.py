@@ -115,18 +115,17 @@ def reverse_map(pairs: DataFrame) -> DataFrame:
     return renamed.orderBy("code", F.desc("n"), "term")
 
 
-def reverse_report(pairs: DataFrame, terms_per_row: int = 10_000) -> DataFrame:
-    """(code, part, terms): the terms of a code as a map from term to count.
+def reverse_report(pairs: DataFrame, parts: int = 16) -> DataFrame:
+    """(code, part, terms): the terms of a code as maps from term to count.
 
-    A code has one row as long as its terms fit ``terms_per_row``; beyond that its terms
-    are spread over parts by hash, so no row and no task grows with the data.
+    The terms of every code are spread over the same number of parts by their md5, so the form of a report
+    does not depend on its size; ``parts`` is at most 256.  A part without terms has no row.
     """
     stats = term_code_stats(pairs)
-    sizes = stats.groupBy("code").agg(F.ceil(F.count("*") / terms_per_row).alias("parts"))
     entry = F.struct((-F.col("frequency")).alias("k"), F.col("normalized_term").alias("t"))
+    byte = F.conv(F.left(F.md5(F.col("normalized_term").cast("binary")), F.lit(2)), 16, 10).cast("bigint")
     return (
-        stats.join(sizes, "code")
-        .withColumn("part", F.pmod(F.xxhash64("normalized_term"), F.col("parts")))
+        stats.withColumn("part", F.pmod(byte, F.lit(parts)))
         .groupBy("code", "part")
         .agg(F.sort_array(F.collect_list(entry)).alias("e"))
         .select(

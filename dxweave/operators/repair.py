@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from dxweave.functions import text as X
 from dxweave.operators import pairs as P
 from dxweave.operators import schema as S
+from dxweave.operators.dedup import first_per_key
 
 UNFILLED = "None"
+#: Shares into which the terms without a code are cut where rules are looked up.
+SALTS = 64
 
 
 def load_rules(rules: DataFrame, allow_empty_correct: bool = False) -> DataFrame:
@@ -83,13 +86,22 @@ def match_rules(keys: DataFrame, rules: DataFrame) -> DataFrame:
         ),
     )
     fields = ["wrong_code", "keyword", "scope", "rule_no", "correct_code"]
+    # Of rules that ask for the same the first counts anyway: one row for each before any join.
+    rules = first_per_key(rules.select("mode", *fields), ["mode", "wrong_code", "keyword", "scope"], "rule_no")
     exact = rules.filter(F.col("mode") == "exact").select(*fields)
     contains = rules.filter(F.col("mode") == "contains").select(*fields)
     lengths = contains.groupBy("wrong_code").agg(
         F.collect_set(F.char_length("keyword")).alias("lengths")
     )
+    # Every term without a code asks for the blank code, so that key is spread over salts.
+    blank = F.col("wrong_code") == ""
+    salts = F.when(blank, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    lengths = lengths.withColumn("salt", F.explode(salts))
+    salt = F.when(blank, F.pmod(F.xxhash64("norm"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
     by_substring = (
-        by_code.join(lengths, "wrong_code")
+        by_code.withColumn("salt", salt)
+        .join(lengths, ["wrong_code", "salt"])
+        .drop("salt")
         .withColumn("length", F.explode("lengths"))
         .filter(F.char_length("norm") >= F.col("length"))
         .withColumn(
@@ -220,11 +232,15 @@ def repair(
 
 
 def replace_code(df: DataFrame, columns: Sequence[str], old: str, new: str) -> DataFrame:
-    """Replace one code in every cell, whatever the term: a projection, no shuffle."""
+    """Replace one code in every cell, whatever the term: a projection, no shuffle.
+
+    Cells that do not hold the code stay as they are, spacing included.
+    """
 
     def swapped(cell: Column) -> Column:
         codes = F.transform(X.split_pipe(cell), lambda c: F.when(c == old, F.lit(new)).otherwise(c))
-        return F.when(cell.contains(old), F.array_join(codes, "|")).otherwise(cell)
+        named = F.exists(X.split_pipe(cell), lambda c: c == old)
+        return F.when(F.coalesce(named, F.lit(False)), F.array_join(codes, "|")).otherwise(cell)
 
     return df.withColumns({c: swapped(F.col(c)) for c in columns})
 
@@ -232,9 +248,9 @@ def replace_code(df: DataFrame, columns: Sequence[str], old: str, new: str) -> D
 def replace_codes(
     df: DataFrame, columns: Sequence[str], mapping: DataFrame, id_column: str = "record_id"
 ) -> DataFrame:
-    """Replace codes by a table (old_code, new_code).
+    """Replace codes by a table (old_code, new_code[, line]).
 
-    Only the pieces the table names are brought together again, per record; everything
+    Of several rows for a code the last line counts, without lines the smallest new code.  Only the pieces the table names are brought together again, per record; everything
     else stays in the rows it came in.
     """
     cells = [
@@ -244,7 +260,9 @@ def replace_codes(
     pieces = df.select(F.col(id_column).alias("record_id"), F.inline(F.array(*cells))).select(
         "record_id", "col_ord", F.posexplode("codes").alias("pos", "old_code")
     )
-    changes = pieces.join(mapping.select("old_code", "new_code"), "old_code")
+    chosen = F.max_by("new_code", "line") if "line" in mapping.columns else F.min("new_code")
+    mapping = mapping.filter(F.col("old_code").isNotNull()).groupBy("old_code").agg(chosen.alias("new_code"))
+    changes = pieces.join(mapping, "old_code")
     out = _with_changes(df, changes, id_column)
     rewritten = {}
     for i, c in enumerate(columns):

@@ -16,23 +16,27 @@ def numbered_rules(template: DataFrame) -> DataFrame:
     return template.withColumn("rule_no", F.monotonically_increasing_id())
 
 
-def audit(
-    df: DataFrame, rounds: int = 3, id_column: str = "record_id", mode: str = "global"
-) -> tuple[DataFrame, list[int]]:
+def audit(df: DataFrame, id_column: str = "record_id", mode: str = "global") -> tuple[DataFrame, list[int]]:
     """Apply the rules each inspection recommends until one changes nothing.
 
     Returns the repaired table and the number of changes per round.  Every round is
-    written to the shared folder, so the plan does not grow with the rounds.
+    written to the shared folder, so the plan does not grow with the rounds.  If a set of
+    changes comes again, rules undo each other and no round would be the last: an error.
     """
     changes_per_round: list[int] = []
+    seen: set[tuple] = set()
     pairs = S.code_pairs(df.columns)
-    for _ in range(rounds):
+    while True:
         cells = S.pair_cells(df, pairs, id_column)
         template = materialize(I.rule_template(I.all_flags(cells, mode)), "template")
         rules = R.load_rules(numbered_rules(template))
         changes = materialize(R.rule_changes(cells, rules), "changes")
-        changes_per_round.append(changes.count())
-        if not changes_per_round[-1]:
-            break
+        row = F.xxhash64("record_id", "col_ord", "pos", "old_code", "new_code").cast("decimal(38,0)")
+        n, mark = changes.agg(F.count("*"), F.sum(row)).first()
+        changes_per_round.append(n)
+        if not n:
+            return df, changes_per_round
+        if (n, mark) in seen:
+            raise ValueError(f"the same {n} changes come again after {len(changes_per_round)} rounds: rules undo each other")
+        seen.add((n, mark))
         df = materialize(R.apply_changes(df, changes, pairs, id_column), "repaired")
-    return df, changes_per_round

@@ -18,13 +18,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of long texts.  A file with one row group is one task on any number of
-    cores, so a table of fewer files than cores is dealt out; a large one is not touched.
-    """
+def text_table(spark: SparkSession, folder: str, name: str, partitions: int | None = None) -> DataFrame:
+    """A table of long texts, in the splits of its files, or dealt out if the caller wants more tasks."""
     df = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df if partitions is None else df.repartition(partitions)
 
 
 def record_lines(spark: SparkSession, folder: str) -> DataFrame:

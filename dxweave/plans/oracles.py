@@ -15,9 +15,9 @@ ORACLES["reverse_map"] = f"""{_INSPECT}
 SELECT code, norm AS term, count(*) AS n FROM usable GROUP BY code, norm ORDER BY code, n DESC, term"""
 
 ORACLES["reverse_report"] = f"""{_INSPECT}, {_STATS}
-SELECT code, CAST(0 AS BIGINT) AS part,
+SELECT code, CAST(('0x' || md5(norm)[1:2]) AS BIGINT) % 16 AS part,
        '{{' || string_agg('"' || norm || '":' || n, ',' ORDER BY n DESC, norm) || '}}' AS terms
-FROM stats GROUP BY code"""
+FROM stats GROUP BY ALL"""
 
 ORACLES["recommended_codes"] = f"""{_INSPECT}, {S.MAJORITY}
 SELECT norm, code AS recommended_code, n AS recommended_code_frequency FROM ranked_codes WHERE rk = 1"""
@@ -33,22 +33,21 @@ WHERE c.rk > 1"""
 
 ORACLES["multi_code_conflicts"] = f"{_INSPECT}, {S.MAJORITY}\n{_CONFLICTS}"
 
-# A correlated count of the earlier pairs of the same term.
-_ASKED = """asking AS (
-  SELECT * FROM pairs WHERE reason IS NULL
-   AND (contains(code, 'ERROR') OR trim(code) = '' OR lower(code) IN ('none', 'nan'))),
-earlier AS (
-  SELECT a.record_id, a.col_ord, a.pos, u.code, count(*) AS n, min((u.record_id, u.col_ord, u.pos)) AS first
-  FROM asking a JOIN usable u ON u.norm = a.norm
-   AND (u.record_id, u.col_ord, u.pos) < (a.record_id, a.col_ord, a.pos)
-  GROUP BY a.record_id, a.col_ord, a.pos, u.code),
-best AS (
-  SELECT *, row_number() OVER (PARTITION BY record_id, col_ord, pos ORDER BY n DESC, first) AS rk FROM earlier),
+# Each usable pair makes its code a candidate with the count so far; the best candidate before a pair that asks wins.
+_ASKED = """counted AS (
+  SELECT *, NOT (contains(code, 'ERROR') OR trim(code) = '' OR lower(code) IN ('none', 'nan')) AS usable
+  FROM pairs WHERE reason IS NULL),
+so_far AS (
+  SELECT *, count(*) OVER w AS n, first_value({'r': -record_id, 'c': -col_ord, 'p': -pos}) OVER w AS earliness
+  FROM counted WINDOW w AS (PARTITION BY norm, code, usable ORDER BY record_id, col_ord, pos ROWS UNBOUNDED PRECEDING)),
+topped AS (
+  SELECT *, max(CASE WHEN usable THEN {'n': n, 'earliness': earliness, 'code': code} END) OVER (
+    PARTITION BY norm ORDER BY record_id, col_ord, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top
+  FROM so_far),
 asked AS (
-  SELECT a.record_id, a.col_ord, a.pos, a.uuid, a.admission_date, a.col, a.term, a.norm, a.code,
-         coalesce(b.code, '') AS recommended_code, coalesce(b.n, 0) AS recommended_code_frequency
-  FROM asking a LEFT JOIN best b
-    ON b.record_id = a.record_id AND b.col_ord = a.col_ord AND b.pos = a.pos AND b.rk = 1)"""
+  SELECT record_id, col_ord, pos, uuid, admission_date, col, term, norm, code,
+         coalesce(top.code, '') AS recommended_code, coalesce(top.n, 0) AS recommended_code_frequency
+  FROM topped WHERE NOT usable)"""
 
 ORACLES["running_recommendation"] = f"""{_INSPECT}, {_ASKED}
 SELECT record_id, col_ord, CAST(pos AS INTEGER) AS pos, uuid, admission_date, col AS "column", term, norm, code,
@@ -234,12 +233,9 @@ SELECT record_id, t1 AS diagnosis1, t2 AS diagnosis2 FROM records"""
 
 # -- lookups and rules --------------------------------------------------------
 
-ORACLES["rule_set_version"] = """WITH chunks AS (
-  SELECT p_type, p_partkey // 4096 AS chunk, md5(string_agg(
-    '- Rule: If input implies ''' || p_name || ''', map to ''' || p_brand || '''', chr(10) ORDER BY p_partkey)) AS hash
-  FROM part GROUP BY 1, 2)
-SELECT p_type, substr(CASE WHEN count(*) = 1 THEN min(hash) ELSE md5(string_agg(hash, '' ORDER BY chunk)) END, 1, 8) AS version
-FROM chunks GROUP BY p_type"""
+ORACLES["rule_set_version"] = """SELECT p_type, substr(md5(count(*) || ':' || sum(CAST('0x' || substr(md5(
+    p_partkey || '- Rule: If input implies ''' || p_name || ''', map to ''' || p_brand || ''''), 1, 15) AS BIGINT))), 1, 8) AS version
+FROM part GROUP BY p_type"""
 
 _BOOK = "book AS (SELECT p_partkey AS line, p_name AS term, p_brand AS code FROM part WHERE NOT starts_with(p_name, 'red'))"
 ORACLES["dictionary_last_wins"] = f"""WITH {_BOOK}
@@ -391,18 +387,27 @@ FROM records LEFT JOIN outcome a ON a.record_id = records.record_id AND a.col_or
 LEFT JOIN outcome b ON b.record_id = records.record_id AND b.col_ord = 1"""
 
 
-def _swap(cell: str, expression: str) -> str:
-    return f"array_to_string(list_transform(string_split({cell}, '|'), lambda x: {expression}), '|')"
-
-
-def _replaced(expression: str) -> str:
-    return f"""WITH {S.CLEAN}
-SELECT record_id, {_swap('c1', expression)} AS "diagnosis1_ICD11_Code", {_swap('c2', expression)} AS "diagnosis2_ICD11_Code"
-FROM records"""
-
-
-ORACLES["global_replace_one"] = _replaced("CASE WHEN x = 'Brand#2' THEN 'Brand#2/X' ELSE x END")
-ORACLES["global_replace_table"] = _replaced("CASE WHEN suffix(x, '2') THEN x || '-new' ELSE x END")
+ORACLES["global_replace_one"] = f"""WITH {S.CLEAN},
+odd AS (SELECT record_id, c1, CASE WHEN record_id % 2 = 0 THEN ' ' || replace(coalesce(c2, ''), '|', ' | ') ELSE c2 END AS c2 FROM records),
+pieces AS (
+  SELECT *, list_transform(string_split(coalesce(c1, ''), '|'), lambda x: trim(x)) AS p1,
+         list_transform(string_split(coalesce(c2, ''), '|'), lambda x: trim(x)) AS p2 FROM odd)
+SELECT record_id,
+       CASE WHEN list_contains(p1, 'Brand#21') THEN array_to_string(list_transform(p1, lambda x: CASE WHEN x = 'Brand#21' THEN 'Brand#2/X' ELSE x END), '|') ELSE nullif(c1, '') END AS "diagnosis1_ICD11_Code",
+       CASE WHEN list_contains(p2, 'Brand#21') THEN array_to_string(list_transform(p2, lambda x: CASE WHEN x = 'Brand#21' THEN 'Brand#2/X' ELSE x END), '|') ELSE nullif(c2, '') END AS "diagnosis2_ICD11_Code"
+FROM pieces"""
+ORACLES["global_replace_table"] = f"""WITH {S.CLEAN},
+last AS (SELECT p_brand AS old_code, p_brand || '-' || max(p_partkey) AS new_code FROM part WHERE suffix(p_brand, '2') GROUP BY p_brand),
+spread AS (
+  SELECT record_id, 0 AS col_ord, unnest(string_split(c1, '|')) AS x, unnest(range(1, len(string_split(c1, '|')) + 1)) AS i FROM records
+  UNION ALL
+  SELECT record_id, 1, unnest(string_split(c2, '|')), unnest(range(1, len(string_split(c2, '|')) + 1)) FROM records),
+cells AS (
+  SELECT record_id, col_ord, string_agg(coalesce(new_code, x), '|' ORDER BY i) AS cell
+  FROM spread LEFT JOIN last ON old_code = x GROUP BY record_id, col_ord)
+SELECT records.record_id, nullif(a.cell, '') AS "diagnosis1_ICD11_Code", nullif(b.cell, '') AS "diagnosis2_ICD11_Code"
+FROM records LEFT JOIN cells a ON a.record_id = records.record_id AND a.col_ord = 0
+LEFT JOIN cells b ON b.record_id = records.record_id AND b.col_ord = 1"""
 
 
 def _sample(name: str, condition: str) -> str:

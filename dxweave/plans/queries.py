@@ -75,7 +75,7 @@ def multi_code_conflicts(spark, folder):
 
 @query
 def running_recommendation(spark, folder):
-    return P.running_recommendation(_pairs(spark, folder))
+    return P.running_recommendation(_pairs(spark, folder), chunk_records=1000)
 
 
 @query
@@ -348,14 +348,20 @@ CODE_COLUMNS = ["diagnosis1_ICD11_Code", "diagnosis2_ICD11_Code"]
 
 @query
 def global_replace_one(spark, folder):
-    replaced = G.replace_code(B.clean_records(spark, folder), CODE_COLUMNS, "Brand#2", "Brand#2/X")
+    """Codes that only begin like the one asked for stay, and so does odd spacing around them."""
+    records = B.clean_records(spark, folder)
+    odd = F.concat(F.lit(" "), F.replace(F.col(CODE_COLUMNS[1]), F.lit("|"), F.lit(" | ")))
+    records = records.withColumn(CODE_COLUMNS[1], F.when(F.col("record_id") % 2 == 0, odd).otherwise(F.col(CODE_COLUMNS[1])))
+    replaced = G.replace_code(records, CODE_COLUMNS, "Brand#21", "Brand#2/X")
     return replaced.select("record_id", *[_blank_to_null(c) for c in CODE_COLUMNS])
 
 
 @query
 def global_replace_table(spark, folder):
-    brands = B.table(spark, folder, "part").select("p_brand").distinct().filter(F.col("p_brand").endswith("2"))
-    mapping = brands.select(F.col("p_brand").alias("old_code"), F.concat("p_brand", F.lit("-new")).alias("new_code"))
+    # One row for each part: many for a code, of which the last counts.
+    parts = B.table(spark, folder, "part").filter(F.col("p_brand").endswith("2"))
+    new = F.concat("p_brand", F.lit("-"), F.col("p_partkey").cast("string"))
+    mapping = parts.select(F.col("p_partkey").alias("line"), F.col("p_brand").alias("old_code"), new.alias("new_code"))
     replaced = G.replace_codes(B.clean_records(spark, folder), CODE_COLUMNS, mapping)
     return replaced.select("record_id", *[_blank_to_null(c) for c in CODE_COLUMNS])
 
@@ -419,11 +425,13 @@ def incremental_coding(spark, folder):
     out = shared_dir(spark, "coding")
     records = B.uncoded_records(spark, folder)
     records.write.parquet(f"{out}/records")
-    cache.write.parquet(f"{out}/cache/batch=-1")
+    lines = rules.select(F.lit(0).alias("line"), "term", "code")
+    key = K.cache_name("recorded", K.rule_set_version(lines).first()["version"])
+    cache.write.parquet(f"{out}/cache/{key}/batch=-1")
     stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 4).parquet(f"{out}/records")
     run_incremental_coding(
         stream, S.term_columns(records.columns), resolvers,
-        out=f"{out}/coded", cache=f"{out}/cache", checkpoint=f"{out}/checkpoint", rules=rules,
+        out=f"{out}/coded", cache=f"{out}/cache", checkpoint=f"{out}/checkpoint", rules=rules, cache_key=key,
     ).awaitTermination()
     coded = spark.read.parquet(f"{out}/coded")
     return coded.select("record_id", *[_blank_to_null(c) for c in CODE_COLUMNS])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared directory that ``spark.checkpoint.dir`` names.
 
-    Without that setting a local session gets a temporary folder; a cluster session is
-    an error, because a folder of one machine is lost with that machine.
+    A session without that setting is an error: a folder of one machine is lost with it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="dxweave-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -15,12 +15,19 @@ def write_table(df: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
     ordered.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
 
 
-def append_new(df: DataFrame, path: str, key: str) -> None:
-    """Append the rows whose key the JSON-lines log at ``path`` does not hold yet."""
-    fresh = df.dropDuplicates([key])
+def append_new(df: DataFrame, path: str, key: str, order: str | None = None) -> None:
+    """Append the rows whose key the JSON-lines log at ``path`` does not hold yet.
+
+    Of several new rows with a key the first by ``order`` is written; without an order that is the smallest row.
+    """
+    rest = [c for c in df.columns if c != key]
+    chosen = F.min_by(F.struct(*rest), order) if order else F.min(F.struct(*rest))
+    fresh = df.groupBy(key).agg(chosen.alias("__row")).select(*[F.col(c) if c == key else F.col("__row")[c].alias(c) for c in df.columns])
     try:
         known = df.sparkSession.read.schema(df.select(key).schema).json(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         known = None
     if known is not None:
         fresh = fresh.join(known.select(key).distinct(), key, "left_anti")

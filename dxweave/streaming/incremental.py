@@ -13,10 +13,12 @@ from dxweave.operators.cascade import Resolvers, cache_additions, code_table
 
 
 def read_cache(spark: SparkSession, path: str, before: int) -> DataFrame:
-    """(term, code) remembered by the batches before ``before``."""
+    """(term, code) remembered by the batches before ``before``; none if nothing is stored yet."""
     try:
         stored = spark.read.schema("term string, code string, batch int").parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         stored = spark.createDataFrame([], "term string, code string, batch int")
     return stored.filter(F.col("batch") < before).select("term", "code")
 
@@ -29,20 +31,25 @@ def run_incremental_coding(
     cache: str,
     checkpoint: str,
     rules: DataFrame | None = None,
+    cache_key: str = "no_rules",
 ) -> StreamingQuery:
     """Code a stream of wide records.
 
+    ``cache`` holds a folder for each ``cache_key`` (see ``cache_name``): results of another model or rule
+    set are never used.  Resolvers are asked once for each open term of a batch: its results are stored, and
+    the table and the additions to the cache are made from what is stored.
+
     The streaming checkpoint remembers which files are done.  Batch ``n`` reads the terms
     learnt by batches before it and overwrites its own folders, so running it again after
     a failure changes nothing.
     """
 
     def run(batch: DataFrame, number: int) -> None:
-        known = read_cache(batch.sparkSession, cache, number)
+        known = read_cache(batch.sparkSession, f"{cache}/{cache_key}", number)
         batch.persist()
-        coded_table, coded_terms = code_table(batch, columns, resolvers, known, rules)
+        coded_table, coded_terms = code_table(batch, columns, resolvers, known, rules, once=True)
         coded_table.write.mode("overwrite").parquet(f"{out}/batch={number}")
-        cache_additions(coded_terms).write.mode("overwrite").parquet(f"{cache}/batch={number}")
+        cache_additions(coded_terms).write.mode("overwrite").parquet(f"{cache}/{cache_key}/batch={number}")
         batch.unpersist()
 
     return (

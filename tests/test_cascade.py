@@ -74,7 +74,7 @@ def test_resolver_sees_only_open_terms(spark):
     terms = spark.createDataFrame([(t,) for t in EXPECTED], "term string")
     first_choice = {r.term: r.code for r in C.code_terms(terms, watched, cache, rules).collect()}
     assert seen["splits"] == set("xyznqw")
-    assert seen["candidates"] == {"s1", "s2", "s3", "s4", "sv"}
+    assert seen["candidates"] == {"s1", "s2", "s3", "s4"}  # a verdict has settled sv
     assert first_choice["x"] == "S0|S0|SV"
 
 
@@ -125,14 +125,61 @@ def test_search_equals_brute_force(spark):
 def test_rule_set_version(spark):
     import hashlib
 
-    rows = [(i, f"t{i}", f"c{i}") for i in range(10)]
+    rows = [(i, f"t{i}", f"c{i}") for i in range(4090, 4100)]
     lines = spark.createDataFrame(rows, "line long, term string, code string")
-    text = "\n".join(f"- Rule: If input implies '{t}', map to '{c}'" for _, t, c in rows)
-    assert C.rule_set_version(lines).first().version == hashlib.md5(text.encode()).hexdigest()[:8]
-    assert C.rule_set_version(lines, chunk_lines=3).first().version != hashlib.md5(text.encode()).hexdigest()[:8]
+    numbers = [int(hashlib.md5(f"{i}- Rule: If input implies '{t}', map to '{c}'".encode()).hexdigest()[:15], 16) for i, t, c in rows]
+    version = hashlib.md5(f"{len(rows)}:{sum(numbers)}".encode()).hexdigest()[:8]
+    for pieces in (1, 7):  # in one piece or in many, on either side of any boundary
+        assert C.rule_set_version(lines.repartition(pieces)).first().version == version
+    assert C.rule_set_version(lines.filter("line > 4090")).first().version != version
+    swapped = lines.withColumn("line", 8189 - F.col("line"))
+    assert C.rule_set_version(swapped).first().version != version
     assert C.cache_name("m/x", None) == "diagnosis_term_cache__m_x__no_rules"
 
 
+def test_resolvers_are_asked_once(spark, tmp_path):
+    asked = {name: spark.sparkContext.accumulator(0) for name in ("verdicts", "splits", "candidates", "selections")}
+
+    def counting(name, keys, schema, reply):
+        def resolve(terms):
+            def run(batches):
+                for frame in batches:
+                    asked[name].add(len(frame))
+                    yield frame[keys].assign(**reply(frame))
+
+            return terms.select(*keys).mapInPandas(run, schema)
+
+        return resolve
+
+    entity = [{"code": "S1", "title": "T", "chapter": "18"}]
+    open_resolvers = lambda: C.Resolvers(
+        verdicts=counting("verdicts", ["term"], "term string, reply string", lambda f: {"reply": '{"match_found": false}'}),
+        splits=counting("splits", ["term"], "term string, reply string",
+                        lambda f: {"reply": [f'{{"english_terms": ["{t} a", "{t} b"]}}' for t in f["term"]]}),
+        candidates=counting("candidates", ["sub_term"],
+                            "sub_term string, candidates array<struct<code: string, title: string, chapter: string>>",
+                            lambda f: {"candidates": [entity] * len(f)}),
+        selections=counting("selections", ["term", "sub_term"], "term string, sub_term string, reply string",
+                            lambda f: {"reply": '{"best_match_code": "S1"}'}),
+    )
+    rows = [(i, f"t{i % 10}|t{(i + 1) % 10}") for i in range(40)]
+    df = spark.createDataFrame(rows, "record_id long, diagnosis1 string")
+    expected = {"verdicts": 30, "splits": 10, "candidates": 20, "selections": 20}
+    table, coded = C.code_table(df, ["diagnosis1"], open_resolvers())
+    assert {r.diagnosis1_ICD11_Code for r in table.collect()} == {"S1|S1|S1|S1"}
+    assert coded.count() == 10 and C.cache_additions(coded).count() == 10
+    assert {k: v.value for k, v in asked.items()} == expected
+
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    where = {k: str(tmp_path / k) for k in ("out", "cache", "checkpoint")}
+    incremental.run_incremental_coding(stream, ["diagnosis1"], open_resolvers(), cache_key="k1", **where).awaitTermination()
+    assert {r.diagnosis1_ICD11_Code for r in spark.read.parquet(where["out"]).collect()} == {"S1|S1|S1|S1"}
+    assert {k: v.value for k, v in asked.items()} == {k: 2 * n for k, n in expected.items()}
+    assert incremental.read_cache(spark, where["cache"] + "/k1", 9).count() == 10
+    assert incremental.read_cache(spark, where["cache"] + "/k2", 9).count() == 0
+
+
 def test_resume_and_merge(spark):
     df = spark.createDataFrame([(i, "a") for i in range(4)], "record_id long, diagnosis1 string")
     part = lambda rows: spark.createDataFrame(rows, "record_id long, results map<string,string>, line long")
@@ -181,7 +228,7 @@ def test_incremental_coding_equals_batch(spark, tmp_path):
     got = {r.record_id: r.diagnosis1_ICD11_Code for r in spark.read.parquet(where["out"]).collect()}
     code = {t: known.get(t, c) for t, (c, _) in EXPECTED.items()}
     assert got == {i: "|".join(code[t] for t in cell.split("|") if code[t]) for i, cell in rows}
-    assert spark.read.parquet(where["cache"]).groupBy("term").count().filter("count > 1").count() == 0
+    assert spark.read.parquet(where["cache"] + "/no_rules").groupBy("term").count().filter("count > 1").count() == 0
 
 
 def test_sources_and_sinks(spark, tmp_path):
@@ -211,6 +258,9 @@ def test_sources_and_sinks(spark, tmp_path):
 
     out = str(tmp_path / "out")
     entries = spark.createDataFrame([("a", "1"), ("b", "2")], "key string, value string")
+    doubled = entries.union(spark.createDataFrame([("a", "9")], entries.schema)).withColumn("line", F.col("value").cast("int"))
+    writers.append_new(doubled, str(tmp_path / "first"), "key", "line")
+    assert sorted((r.key, r.value) for r in spark.read.json(str(tmp_path / "first")).collect()) == [("a", "1"), ("b", "2")]
     writers.append_new(entries, out, "key")
     writers.append_new(entries.union(spark.createDataFrame([("c", "3")], entries.schema)), out, "key")
     assert sorted(tuple(r) for r in spark.read.schema(entries.schema).json(out).collect()) == [("a", "1"), ("b", "2"), ("c", "3")]

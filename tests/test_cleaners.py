@@ -1,3 +1,4 @@
+import pytest
 """Composite cleaners against literals worked out by reading."""
 
 from dxweave.functions import cleaners as C
@@ -94,3 +95,13 @@ def test_audit_loop_reaches_a_fixed_point(spark):
     fixed, changes = audit(df)
     assert changes == [5, 0]
     assert {r.diagnosis1_ICD11_Code for r in fixed.collect()} == {"C1|A"}
+
+
+def test_audit_tells_of_rules_that_undo_each_other(spark, monkeypatch):
+    from dxweave.operators import repair
+    from dxweave.plans.audit import audit
+
+    monkeypatch.setattr(repair, "apply_changes", lambda df, *rest: df)
+    df = spark.createDataFrame([(0, "t", "C1"), (1, "t", "C1"), (2, "t", "C2")], "record_id long, diagnosis1 string, diagnosis1_ICD11_Code string")
+    with pytest.raises(ValueError, match="undo"):
+        audit(df)

@@ -82,13 +82,13 @@ def test_stats_reverse_and_invariants(spark):
     stats = {(r.normalized_term, r.code): r.frequency for r in P.term_code_stats(pairs).collect()}
     assert stats == {(t, c): n for t, cs in count.items() for c, n in cs.items()}
     assert sum(stats.values()) == P.usable_pairs(pairs).count()
-    for limit in (1, 10_000):
+    for parts in (1, 16):
         merged = {}
-        report = P.reverse_report(pairs, limit).withColumn("counts", F.map_values("terms"))
+        report = P.reverse_report(pairs, parts).withColumn("counts", F.map_values("terms"))
         for r in report.collect():
-            merged.setdefault(r.code, {}).update(r.terms)
-            if limit == 10_000:
-                assert r.counts == sorted(r.counts, reverse=True)
+            assert 0 <= r.part < parts and r.counts == sorted(r.counts, reverse=True)
+            assert not set(merged.setdefault(r.code, {})) & set(r.terms)
+            merged[r.code].update(r.terms)
         assert merged == {
             c: {t: stats[t, c] for t in count if (t, c) in stats} for c in {k[1] for k in stats}
         }
@@ -133,7 +133,7 @@ def test_reverse_report_file(spark, tmp_path):
 
     rows = [(i, [("甲|乙|乙", "C1|C1|C1"), ("丙", "C0")]) for i in range(2)]
     pairs = P.cell_pairs(P.annotate_cells(cells(spark, rows)))
-    write_reverse_report(P.reverse_report(pairs), str(tmp_path / "report"))
+    write_reverse_report(P.reverse_report(pairs, parts=1), str(tmp_path / "report"))
     lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "report")).collect()]
     assert [(x["code"], list(x["terms"].items())) for x in sorted(lines, key=lambda x: x["code"])] == [
         ("C0", [("丙", 2)]), ("C1", [("乙", 4), ("甲", 2)]),

@@ -112,6 +112,32 @@ def test_global_replacement(spark):
     assert table == {0: ("JB64.2/5B81.Z|N", "N"), 1: ("B", None)}
 
 
+def test_replacing_leaves_other_cells_alone(spark):
+    df = spark.createDataFrame([(0, None, " Brand#21 || Z", None, "Brand#2 | Z")], COLUMNS)
+    columns = ["diagnosis1_ICD11_Code", "diagnosis2_ICD11_Code"]
+    row = R.replace_code(df, columns, "Brand#2", "N").first()
+    assert (row[columns[0]], row[columns[1]]) == (" Brand#21 || Z", "N|Z")
+
+
+def test_several_rows_for_a_code(spark):
+    df = spark.createDataFrame([(0, None, "A|B|A", None, "C")], COLUMNS)
+    columns = ["diagnosis1_ICD11_Code", "diagnosis2_ICD11_Code"]
+    rows = [("A", "A1", 2), ("A", "A2", 1), ("A", "A2", 1), ("B", "B1", 0)]
+    lined = spark.createDataFrame(rows, "old_code string, new_code string, line int")
+    assert R.replace_codes(df, columns, lined).first()[columns[0]] == "A1|B1|A1"
+    assert R.replace_codes(df, columns, lined.drop("line")).first()[columns[0]] == "A1|B1|A1"
+
+
+def test_equal_rules_count_once(spark):
+    df = spark.createDataFrame([(i, "t|u", None, None, None) for i in range(3)], COLUMNS)
+    cells = S.pair_cells(df, S.code_pairs(df.columns))
+    rules = [(9 - i, "Y", "contains", "t", "", f"C{9 - i}", "ALL") for i in range(5)]
+    table = spark.createDataFrame(rules, "rule_no long, enabled string, term_match_mode string, term_keyword string, "
+                                  "wrong_code string, correct_code string, column_scope string")
+    changes = R.rule_changes(cells, R.load_rules(table)).collect()
+    assert [(r.term, r.new_code, r.rule_no) for r in changes] == [("t", "C5", 5)] * 3
+
+
 def test_samples(spark):
     df = spark.createDataFrame([(0, "胎盘血窦|贫血", "A|B", "贫血", "A"), (1, "甲", "A/B", None, None)], COLUMNS)
     cells = S.pair_cells(df, S.code_pairs(df.columns))
