@@ -16,6 +16,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, ShortType, StructType
@@ -136,7 +137,12 @@ def _local_components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def _compare(cosine: float):
     """Links of whole groups: how many each vector has, and with the smallest vector they reach within the rows at hand."""
 
-    def links(table: pa.Table) -> pa.RecordBatch:
+    def links(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        sizes = pc.list_value_length(table["embedding"])
+        for size in pc.unique(sizes):  # vectors of different lengths have no cosine
+            yield of_one_length(table.filter(pc.equal(sizes, size)))
+
+    def of_one_length(table: pa.Table) -> pa.RecordBatch:
         group, kind, band = (table[c].to_numpy() for c in ("gid", "kind", "band"))
         label, rep, weight = table["label"].combine_chunks().dictionary_encode().indices.to_numpy(), table["rep"].to_numpy(), table["weight"].to_numpy()
         unit, bands = _unit(table["embedding"].combine_chunks()), np.array(table["bands"].to_pylist(), np.int64)
@@ -159,15 +165,15 @@ def _compare(cosine: float):
             if not len(group):
                 continue
             if waiting and waiting[-1].column(0)[-1].as_py() != group[0]:
-                yield links(pa.Table.from_batches(waiting))
+                yield from links(pa.Table.from_batches(waiting))
                 waiting = []
             last = int(np.flatnonzero(group != group[-1])[-1]) + 1 if (group != group[-1]).any() else 0
             if last:  # the last group may go on in the next batch
-                yield links(pa.Table.from_batches([*waiting, batch.slice(0, last)]))
+                yield from links(pa.Table.from_batches([*waiting, batch.slice(0, last)]))
                 waiting = []
             waiting.append(batch.slice(last))
         if waiting:
-            yield links(pa.Table.from_batches(waiting))
+            yield from links(pa.Table.from_batches(waiting))
 
     return run
 
