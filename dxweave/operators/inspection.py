@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dxweave import vocab as V
 from dxweave.functions import text as X
 from dxweave.operators import pairs as P
+from dxweave.session import materialize
 
 FLAG_COLUMNS = (
     "row_index", "uuid", "admission_date", "column", "issue_type", "detail", "term_value",
@@ -170,8 +171,14 @@ class Inspection:
 
 
 def all_flags(cells: DataFrame, mode: str = "asof", chunk_records: int = 1 << 20) -> DataFrame:
-    """Every flag of the input with the columns that order them."""
-    annotated = P.annotate_cells(cells)
+    """Every flag of the input with the columns that order them.
+
+    The annotated cells are written once to the shared folder; every kind of flag reads them from there.
+    """
+    return _flags_of(materialize(P.annotate_cells(cells), "annotated"), mode, chunk_records)
+
+
+def _flags_of(annotated: DataFrame, mode: str, chunk_records: int) -> DataFrame:
     pairs = P.cell_pairs(annotated)
     return (
         cell_flags(annotated)
@@ -224,8 +231,9 @@ def write_template(template: DataFrame, path: str) -> None:
 
 def inspect(cells: DataFrame, mode: str = "asof", chunk_records: int = 1 << 20) -> Inspection:
     """The whole inspection of a pair-cell relation (``schema.pair_cells``)."""
-    flags = all_flags(cells, mode, chunk_records)
-    pairs = P.cell_pairs(P.annotate_cells(cells))
+    annotated = materialize(P.annotate_cells(cells), "annotated")
+    flags = _flags_of(annotated, mode, chunk_records)
+    pairs = P.cell_pairs(annotated)
     return Inspection(
         flags=flags,
         stats=P.term_code_stats(pairs),

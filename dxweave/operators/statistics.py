@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dxweave import vocab as V
@@ -85,7 +85,7 @@ def prevalence(
     """Occurrences, patients and prevalence of each counted item; a patient is a record.
 
     The items of a record form a set built inside its row, so one combined count per item
-    is both numbers.  The denominator is every record, also those without a code.
+    is both numbers, and the input is read once.  The denominator is every record, also those without a code.
     """
     parity = F.col(parity_column) if parity_column in df.columns else None
     base = df.select(
@@ -105,20 +105,18 @@ def prevalence(
         grouped if enable_groups else nothing,
         F.transform(details, lambda t: t["code"]) if keep_individual else nothing,
     )
-    counts = (
-        tagged.select(F.explode(items).alias("ICD11_Code_Or_Group"))
-        .groupBy("ICD11_Code_Or_Group")
-        .agg(F.count("*").alias("Total_Occurrences"))
-    )
-    share = F.col("Total_Occurrences") / df.agg(F.count("*")).scalar() * 100
+    # A marker with each record counts the records in the same pass; one row for each item is left after that.
+    entry = lambda item, total: F.struct(item.alias("item"), F.lit(total).alias("total"))
+    none = F.lit(None).cast("string")
+    marked = F.array_append(F.transform(items, lambda i: entry(i, False)), entry(none, True))
+    counts = tagged.select(F.inline(marked)).groupBy("item", "total").agg(F.count("*").alias("n"))
+    records = F.max(F.when(F.col("total"), F.col("n"))).over(Window.partitionBy(F.lit(0)))
+    counts = counts.withColumn("records", records).filter(~F.col("total"))
     return counts.select(
-        "ICD11_Code_Or_Group",
-        "Total_Occurrences",
-        F.col("Total_Occurrences").alias("Patient_Count"),
-        share.alias("share"),
-    ).select(
-        "ICD11_Code_Or_Group", "Total_Occurrences", "Patient_Count",
-        X.percent_text(F.col("share")).alias("Prevalence"),
+        F.col("item").alias("ICD11_Code_Or_Group"),
+        F.col("n").alias("Total_Occurrences"),
+        F.col("n").alias("Patient_Count"),
+        X.percent_text(F.col("n") / F.col("records") * 100).alias("Prevalence"),
     )
 
 

@@ -379,3 +379,35 @@ STATISTICS_PACK = V.CodeGroups(
 def parity_records(spark: SparkSession, folder: str) -> DataFrame:
     parity = (F.col("record_id") % 3).cast("string")
     return noisy_records(spark, folder).withColumn(V.PARITY_COLUMN, F.when(F.col("record_id") % 5 != 0, parity))
+
+
+# -- files --------------------------------------------------------------------
+
+
+def csv_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """(part, diagnosis1): NA spellings, quotes, separators and line breaks in cells."""
+    key = F.col("p_partkey")
+    cell = (
+        F.when(key % 5 == 0, "NA")
+        .when(key % 5 == 1, F.concat("p_name", F.lit("\n"), "p_brand"))
+        .when(key % 5 == 2, F.concat(F.lit('"'), "p_type", F.lit('", "'), "p_name"))
+        .otherwise(F.col("p_name"))
+    )
+    return table(spark, folder, "part").select(F.format_string("%012d", key).alias("part"), cell.alias("diagnosis1"))
+
+
+def two_column_file(lines: DataFrame, path: str) -> None:
+    """A file of (term, code) without a header, in the order of ``line``."""
+    lines.orderBy("line").select("term", "code").write.option("escape", '"').csv(path)
+
+
+def legacy_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """(p_partkey, the three legacy columns); some cells only say that there is nothing."""
+    key = F.col("p_partkey")
+    risk = F.when(key % 3 == 0, "其他 /").when(key % 3 == 1, "无并发症").otherwise(F.col("p_name"))
+    part = table(spark, folder, "part").select("p_partkey", risk.alias(V.RISK_COLUMN))
+    indications = indication_cells(spark, folder).select(
+        "p_partkey", F.when(key % 7 == 0, "社会因素").otherwise(F.col("cell")).alias(V.INDICATION_COLUMN)
+    )
+    complications = complication_cells(spark, folder).withColumnRenamed("cell", V.COMPLICATION_COLUMN)
+    return part.join(indications, "p_partkey").join(complications, "p_partkey")

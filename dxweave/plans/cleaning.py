@@ -33,6 +33,9 @@ PROFILES = {
         "diagnosis_plain",
         V.ARCHIVED_CELL_PLACEHOLDERS,
     ),
+    # The stand-alone cleaners of one column, each with its own empty cells.
+    "risks": ({V.RISK_COLUMN: "risk"}, None, V.RISK_CELL_PLACEHOLDERS),
+    "indications": ({V.INDICATION_COLUMN: "indication"}, None, V.INDICATION_CELL_PLACEHOLDERS),
 }
 
 
@@ -49,5 +52,6 @@ def clean_table(
     """Clean every column the profile knows; absent ones are skipped, the rest passes."""
     fixed, numbered, placeholders = PROFILES[profile]
     chosen = {c: C.CLEANERS[name] for c, name in fixed.items() if c in df.columns}
-    chosen |= {c: C.CLEANERS[numbered] for c in S.numbered_columns(df.columns)}
+    if numbered:
+        chosen |= {c: C.CLEANERS[numbered] for c in S.numbered_columns(df.columns)}
     return clean_columns(df, chosen | (overrides or {}), placeholders)

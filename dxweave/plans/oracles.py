@@ -475,3 +475,35 @@ _COUNTERS = """count(*) AS calls, count(*) FILTER (WHERE used) AS calls_with_usa
 ORACLES["usage_summary"] = f"""{_CALLS}
 SELECT label, CAST(grouping(label) AS INTEGER) AS is_total, {_COUNTERS} FROM counted GROUP BY ROLLUP (label)"""
 ORACLES["usage_stream"] = f"{_CALLS} SELECT label, {_COUNTERS} FROM counted GROUP BY label"
+
+# -- files --------------------------------------------------------------------
+
+ORACLES["csv_round_trip"] = """SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS row, lpad(CAST(p_partkey AS VARCHAR), 12, '0') AS part,
+       CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN p_name || chr(10) || p_brand
+            WHEN 2 THEN '"' || p_type || '", "' || p_name ELSE p_name END AS diagnosis1 FROM part"""
+_LAST_CODE = f"WITH {_BOOK}\nSELECT term, arg_max(code, line) AS code FROM book GROUP BY term"
+ORACLES["dictionary_file"] = _LAST_CODE
+ORACLES["rule_file"] = _LAST_CODE
+ORACLES["term_log"] = f"""WITH {_BOOK}
+SELECT term AS key, coalesce(arg_min(code, line) FILTER (WHERE line % 16 = 0), arg_min(code, line)) AS value FROM book GROUP BY term"""
+ORACLES["archived_columns"] = f"""WITH i AS ({ORACLES["legacy_protected"]}),
+c AS ({ORACLES["legacy_complications"]})
+SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN '社会因素' ELSE i.terms END AS indication, c.terms AS complication,
+       CASE WHEN p_partkey % 3 = 2 THEN p_name END AS risk,
+       CASE WHEN p_partkey % 7 <> 0 THEN i.terms END AS indication_alone,
+       CASE p_partkey % 3 WHEN 1 THEN '无并发症' WHEN 2 THEN p_name END AS risk_alone
+FROM part JOIN i USING (p_partkey) JOIN c USING (p_partkey)"""
+ORACLES["risk_backfill"] = ORACLES["context_rules"].replace("CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE o_orderstatus END", "''")
+ORACLES["searched_cascade"] = """WITH best AS (SELECT p_name, min('P' || p_partkey) AS code FROM part GROUP BY p_name)
+SELECT DISTINCT p_name || ' ' || p_brand AS term, code, 'search' AS stage FROM part JOIN best USING (p_name)"""
+# Once every pair of a term has the winning code of that term, no rule is left.
+ORACLES["audit_loop"] = f"""{_INSPECT}, {S.MAJORITY},
+fixed AS (
+  SELECT record_id, col_ord, pos, CASE WHEN reason IS NULL THEN coalesce(r.code, p.code) ELSE p.code END AS code
+  FROM pairs p LEFT JOIN ranked_codes r ON r.norm = p.norm AND r.rk = 1),
+rebuilt AS (SELECT record_id, col_ord, string_agg(code, '|' ORDER BY pos) AS cell FROM fixed GROUP BY record_id, col_ord),
+whole AS (
+  SELECT r.record_id, coalesce(a.cell, r.c1) AS c1, coalesce(b.cell, r.c2) AS c2
+  FROM records r LEFT JOIN rebuilt a ON a.record_id = r.record_id AND a.col_ord = 0
+  LEFT JOIN rebuilt b ON b.record_id = r.record_id AND b.col_ord = 1)
+SELECT record_id, nullif(c1, '') AS "diagnosis1_ICD11_Code", nullif(c2, '') AS "diagnosis2_ICD11_Code" FROM whole"""

@@ -22,8 +22,10 @@ from dxweave.operators import statistics as T
 from dxweave.operators import usage as U
 from dxweave.operators.dedup import first_per_key, last_per_key
 from dxweave.plans import bindings as B
+from dxweave.plans.audit import audit
 from dxweave.plans.cleaning import clean_table
-from dxweave.session import shared_dir
+from dxweave.session import materialize, shared_dir
+from dxweave.sources import readers, writers
 from dxweave.streaming.incremental import run_incremental_coding
 from dxweave.streaming.usage_stream import current_totals, run_usage_stream
 
@@ -435,3 +437,83 @@ def incremental_coding(spark, folder):
     ).awaitTermination()
     coded = spark.read.parquet(f"{out}/coded")
     return coded.select("record_id", *[_blank_to_null(c) for c in CODE_COLUMNS])
+
+
+# -- files --------------------------------------------------------------------
+
+
+@query
+def csv_round_trip(spark, folder):
+    """Written in order and read again: NA spellings, quotes and line breaks inside cells, row numbers."""
+    path = shared_dir(spark, "csv")
+    writers.write_table(B.csv_cells(spark, folder), path, ["part"])
+    return readers.read_table(spark, path, multi_line=True, ordinal="row").select("row", "part", "diagnosis1")
+
+
+@query
+def dictionary_file(spark, folder):
+    path = shared_dir(spark, "dictionary")
+    B.two_column_file(B.part_dictionary(spark, folder), path)
+    return readers.read_dictionary(spark, path)
+
+
+@query
+def rule_file(spark, folder):
+    """The first row names its columns and is no rule."""
+    path = shared_dir(spark, "rules")
+    header = spark.range(1).select(F.lit(-1).cast("bigint").alias("line"), F.lit("term").alias("term"), F.lit("ICD code").alias("code"))
+    B.two_column_file(B.part_dictionary(spark, folder).unionByName(header), path)
+    return readers.exact_rules(readers.read_rule_lines(spark, path))
+
+
+@query
+def term_log(spark, folder):
+    """A log to which two runs append, the second only what is new, with broken lines between."""
+    path = shared_dir(spark, "log")
+    entries = B.part_dictionary(spark, folder).select(F.col("term").alias("key"), F.col("code").alias("value"), "line")
+    writers.append_new(entries.filter(F.col("line") % 16 == 0), path, "key", "line")
+    entries.select(F.concat(F.lit('{"key": "'), "key").alias("value")).write.mode("append").text(path)
+    writers.append_new(entries, path, "key", "line")
+    return readers.read_log(spark, path, "key")
+
+
+@query
+def archived_columns(spark, folder):
+    cells = B.legacy_cells(spark, folder)
+    cleaned = clean_table(cells, "archived").select("p_partkey", V.INDICATION_COLUMN, V.COMPLICATION_COLUMN, V.RISK_COLUMN)
+    alone = clean_table(clean_table(cells, "risks"), "indications").select(
+        "p_partkey", F.col(V.INDICATION_COLUMN).alias("indication_alone"), F.col(V.RISK_COLUMN).alias("risk_alone")
+    )
+    names = {V.INDICATION_COLUMN: "indication", V.COMPLICATION_COLUMN: "complication", V.RISK_COLUMN: "risk"}
+    return cleaned.withColumnsRenamed(names).join(alone, "p_partkey")
+
+
+@query
+def risk_backfill(spark, folder):
+    """Records without one of the context columns: it is filled in, and no row is lost."""
+    records = B.order_risks(spark, folder).drop(V.COMPLICATION_COLUMN)
+    mapped = L.code_risk_items(S.backfill(records, [V.COMPLICATION_COLUMN]), B.order_dictionary(spark, folder), B.ORDER_RULES)
+    mapped = materialize(mapped, "risks")
+    L.assert_same_height(records, mapped)
+    return mapped.select("record_id", F.col(V.RISK_COLUMN + V.CODE_SUFFIX).alias("risk_codes"))
+
+
+@query
+def searched_cascade(spark, folder):
+    """Every term is split, searched in a catalogue, and takes the first candidate."""
+    part = B.table(spark, folder, "part")
+    catalogue = part.select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("code"), F.col("p_name").alias("title"))
+    splits = part.select(
+        B.coded_term().alias("term"), F.concat(F.lit('{"english_terms": ["'), "p_name", F.lit('"]}')).alias("reply")
+    ).distinct()
+    resolvers = K.Resolvers(
+        splits=K.recorded(splits),
+        candidates=lambda subs: candidates.as_candidates(candidates.search(subs, catalogue), catalogue),
+    )
+    return K.code_terms(part.select(B.coded_term().alias("term")), resolvers)
+
+
+@query
+def audit_loop(spark, folder):
+    fixed, _ = audit(B.noisy_records(spark, folder))
+    return fixed.select("record_id", *[_blank_to_null(c) for c in CODE_COLUMNS])

@@ -6,8 +6,6 @@ makes a file unsplittable: convert a large CSV to Parquet once and read that.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,11 +29,12 @@ def read_table(
     spark: SparkSession,
     path: str | list[str],
     dialect: str = "pandas",
-    multi_line: bool = True,
+    multi_line: bool = False,
     ordinal: str | None = None,
 ) -> DataFrame:
     """All-string CSV with a header; the NA spellings of the dialect become null.
 
+    Quoted line breaks need ``multi_line``, which makes every file one task.
     ``ordinal`` names an extra column with the 0-based row number.
     """
     df = _csv(spark, True, multi_line).csv(path)
@@ -74,7 +73,9 @@ def read_rule_lines(spark: SparkSession, path: str) -> DataFrame:
     """
     try:
         rows = _two_columns(spark, path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "line bigint, term string, code string")
     names_code = F.lower("code").contains("code") | F.col("code").contains("编码")
     return _entries(rows.filter(~((F.col("line") == 0) & F.coalesce(names_code, F.lit(False)))))
@@ -107,6 +108,3 @@ def latest_entries(lines: DataFrame, name: str, field: str, value_type: str) ->
     # Map values are boxed in a struct: max_by needs no ordering on what it returns.
     return last_per_key(entries, ["key"], "line").filter(F.col("value").isNotNull()).select("key", "value")
 
-
-def read_parquet_tables(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names}

@@ -234,9 +234,9 @@ def test_incremental_coding_equals_batch(spark, tmp_path):
 def test_sources_and_sinks(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_bytes("﻿uuid,diagnosis1\n1,\"a\nb\"\nNA,无\n3,\n".encode())
-    df = readers.read_table(spark, str(path), ordinal="record_id")
+    df = readers.read_table(spark, str(path), multi_line=True, ordinal="record_id")
     assert [tuple(r) for r in df.orderBy("record_id").collect()] == [(0, "1", "a\nb"), (1, None, "无"), (2, "3", None)]
-    polars = readers.read_table(spark, str(path), dialect="polars")
+    polars = readers.read_table(spark, str(path), dialect="polars", multi_line=True)
     assert {r.uuid for r in polars.collect()} == {"1", "NA", "3"}
 
     book = tmp_path / "d.csv"
