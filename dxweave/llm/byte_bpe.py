@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 
 from dxweave.llm import common, tokens
 
-#: Distinct chunks in either generation of a worker's cache.
+#: Distinct words, and chunks of words, in either generation of a worker's caches.
 CACHE = 1 << 18
 #: Words longer than this contract all occurrences of a safe minimum pair in one step.
 LONG = 48
@@ -91,8 +91,7 @@ class Encoder:
         self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "300MB"})
         self._table("merges", pair=(left << 32) + right, rank=rank, safe=lowest[rank] > rank)
         self._table("vocabulary", id=np.array(list(ranks.values()), np.int64), hex=[t.hex() for t in ranks])
-        self.young: dict[str, tuple[str, bytes]] = {}
-        self.old: dict[str, tuple[str, bytes]] = {}
+        self.known_words, self.known_chunks = tokens.Kept(CACHE), tokens.Kept(CACHE)
 
     def _table(self, name: str, **columns) -> None:
         self.db.register("given", pa.table(columns))
@@ -120,23 +119,19 @@ class Encoder:
 
     def chunks(self, parts: list[list[str]]) -> tuple[dict[str, tuple[str, bytes]], dict[str, tuple[str, bytes]]]:
         """Results of all first chunks, and of all others, which have a space before them."""
-        if len(self.young) > CACHE:
-            self.young, self.old = {}, self.young
         firsts = {p[0] for p in parts}
-        later = set().union(*(p[1:] for p in parts))
-        missing = later.difference(self.young)
-        promoted = missing.intersection(self.old)
-        self.young.update((c, self.old[c]) for c in promoted)
-        missing.difference_update(promoted)
+        missing = self.known_chunks.missing(set().union(*(p[1:] for p in parts)))
         wanted = [(c, self.pattern.findall(c)) for c in firsts] + [(c, self.pattern.findall(" " + c)) for c in missing]
-        distinct = list({w for _, found in wanted for w in found})
-        known = dict(zip(distinct, self.words(distinct))) if distinct else {}
+        new = self.known_words.missing({w for _, found in wanted for w in found})
+        known = self.known_words.young
+        if new:
+            known.update(zip(new, self.words(new)))
         whole: dict[str, tuple[str, bytes]] = {}
         for k, (c, found) in enumerate(wanted):
             own = [known[w] for w in found]
             value = own[0] if len(own) == 1 else (" ".join([i for i, _ in own]), b"".join([d for _, d in own]))
-            (whole if k < len(firsts) else self.young)[c] = value
-        return whole, self.young
+            (whole if k < len(firsts) else self.known_chunks.young)[c] = value
+        return whole, self.known_chunks.young
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}

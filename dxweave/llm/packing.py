@@ -8,6 +8,7 @@ places.  A piece finds its sequence from its length and its rank among the piece
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -22,9 +23,9 @@ from dxweave.llm import common, tokens
 
 CAPACITY = 4096
 #: Lengths above this share of the capacity are grouped and rounded, smaller ones are filled in by best fit.
-LARGE_SHARE = 1 / 16
+LARGE_SHARE = 1 / 3
 #: Number of groups of equal cardinality, and so of sizes in the configuration program.
-GROUPS = 32
+GROUPS = 64
 #: Distinct chunks that a worker keeps with their ids.
 CACHE = 1 << 18
 
@@ -34,22 +35,20 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task
 # ---- cutting -------------------------------------------------------------------------------
 
 
-class _Ids(dict):
-    """Chunk -> its ids as bytes."""
+_CACHES: dict[str, tokens.Kept] = {}
 
-    def __init__(self, path: str):
-        super().__init__()
-        self.path = path
 
-    def learn(self, parts: list[list[bytes]]) -> None:
-        if len(self) > CACHE:
-            self.clear()
-        missing = list(set().union(*parts).difference(self))
-        found = tokens.library(self.path).encode_batch_fast([m.decode() for m in missing], add_special_tokens=False)
-        self.update((m, np.array(e.ids, "<u4").tobytes()) for m, e in zip(missing, found))
+def _cache(path: str) -> tokens.Kept:
+    """The cache of this worker, for all its tasks."""
+    return _CACHES.setdefault(path, tokens.Kept(CACHE))
 
 
-_CACHES: dict[str, _Ids] = {}
+def _ids(cache: tokens.Kept, path: str, parts: list[list[bytes]]) -> dict[bytes, bytes]:
+    """Ids, as bytes, of at least all chunks in ``parts``; the library encodes the new ones in one call."""
+    new = cache.missing(set().union(*parts))
+    found = tokens.library(path).encode_batch_fast([m.decode() for m in new], add_special_tokens=False)
+    cache.young.update((m, array("I", e.ids).tobytes()) for m, e in zip(new, found))
+    return cache.young
 
 
 def cut(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
@@ -59,16 +58,16 @@ def cut(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _CACHES.setdefault(path, _Ids(path))
+        cache = _cache(path)
         task = TaskContext.get().partitionId()
-        last = np.array([end_id], "<u4").tobytes()
+        last = array("I", [end_id]).tobytes()
         seen: dict[int, int] = {}
         for batch, texts in common.pieces(batches):
             parts = [t.split() for t in texts]
-            cache.learn(parts)
+            known = _ids(cache, path, parts)
             rows: list[tuple] = []
             for doc, words in zip(batch.column(0).to_pylist(), parts):
-                ids = b"".join(map(cache.__getitem__, words)) + last
+                ids = b"".join(map(known.__getitem__, words)) + last
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at : at + 4 * capacity]
                     length = len(own) // 4
@@ -288,3 +287,11 @@ def pack(
     return ranked.select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("first") + F.col("place")).alias("rank")
     ).mapInArrow(place, SCHEMA)
+
+
+class _Ids:
+    def __init__(self, path):
+        self.path, self.kept = path, tokens.Kept(CACHE)
+
+    def known(self, parts):
+        return _ids(self.kept, self.path, parts)

@@ -37,3 +37,24 @@ def library(path: str):
 
         _TOKENIZERS[path] = Tokenizer.from_file(path)
     return _TOKENIZERS[path]
+
+
+class Kept:
+    """A worker's bounded cache in two generations: once the young one is full, what is not asked for again goes."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def missing(self, keys: set) -> list:
+        """The keys that are not known; all others are in ``young`` until the next call."""
+        if len(self.young) > self.limit:
+            self.young, self.old = {}, self.young
+        new = []
+        for key in keys.difference(self.young):
+            if key in self.old:
+                self.young[key] = self.old[key]
+            else:
+                new.append(key)
+        return new
