@@ -287,11 +287,3 @@ def pack(
     return ranked.select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("first") + F.col("place")).alias("rank")
     ).mapInArrow(place, SCHEMA)
-
-
-class _Ids:
-    def __init__(self, path):
-        self.path, self.kept = path, tokens.Kept(CACHE)
-
-    def known(self, parts):
-        return _ids(self.kept, self.path, parts)
