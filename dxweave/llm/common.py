@@ -12,12 +12,15 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a worker takes apart at once; a single longer text is taken whole.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
+#: Ids (8 MB of them) that may be broadcast instead of shuffling texts.
+BROADCAST_IDS = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +55,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def by_ids(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """``df`` joined with a stored table of distinct ``doc_id`` by a semi or anti join.
+
+    Texts are wide and ids are not: up to ``BROADCAST_IDS`` counted ids go to the texts, beyond that the two are
+    shuffled.  Either way gives the same rows.
+    """
+    small = ids.count() <= BROADCAST_IDS
+    return df.join(F.broadcast(ids) if small else ids, "doc_id", how)
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, empty for null."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
@@ -61,21 +74,20 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 def pieces(batches: Iterator[pa.RecordBatch], text: int = 1) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cuts batches into runs of rows with at most ``PIECE_BYTES`` of text, or one longer row."""
     for batch in batches:
-        texts = text_bytes(batch.column(text))
+        sizes = np.nan_to_num(pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False)).astype(np.int64)
         start = size = 0
-        for i, value in enumerate(texts):
-            if i > start and size + len(value) > PIECE_BYTES:
-                yield batch.slice(start, i - start), texts[start:i]
+        for i, n in enumerate([*sizes.tolist(), PIECE_BYTES]):
+            if i > start and size + n > PIECE_BYTES or i == len(sizes) > start:
+                piece = batch.slice(start, i - start)
+                yield piece, text_bytes(piece.column(text))
                 start, size = i, 0
-            size += len(value)
-        if len(texts) > start:
-            yield batch.slice(start), texts[start:]
+            size += n
 
 
 class WordHashes(dict):
     """word -> its place in ``hashes``; a word is hashed once.  Emptied between pieces when it is large."""
 
-    LIMIT = 1 << 19
+    LIMIT = 1 << 18
 
     def __init__(self, seeds: tuple[int, ...] = (0,)):
         super().__init__()

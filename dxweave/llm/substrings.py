@@ -32,7 +32,7 @@ from dxweave.llm import common
 
 WINDOW = 13
 #: Text in one batch row, windows in one slice, and the size of a slice's sketch: cells in each of its rows.
-BATCH_BYTES, SLICE_WINDOWS = 8 << 20, 2 << 20
+BATCH_BYTES, SLICE_WINDOWS = 4 << 20, 2 << 20
 DEPTH, WIDTH = 2, 1 << 24
 #: Buckets of the table of batches for each task that wrote it, and at most.
 BUCKETS_PER_TASK, MOST_BUCKETS = 4, 20_000
