@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dxweave.llm import near_duplicates, packing, quality, substrings, toxicity
-from dxweave.llm.common import stored, table
+from dxweave.llm.common import by_ids, stored, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +26,8 @@ def no_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies the document with the smallest id stays."""
-    gone = near_duplicates.classes(docs).where(~F.col("kept")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = stored(near_duplicates.classes(docs).where(~F.col("kept")).select("doc_id").distinct(), "gone")
+    return by_ids(docs, gone, "left_anti").select(docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

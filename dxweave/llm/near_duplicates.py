@@ -177,7 +177,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_
     rows = common.rows(docs, doc_id, text)
     known = rows.where(F.col("doc_id").isNotNull())
     sketched = common.stored(known.mapInArrow(_sketch, "doc_id long, digest binary, n_kmers long, entries array<long>"), "sketches")
-    copies = sketched.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("first"))
+    copies = sketched.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    copies = common.stored(copies.where("n > 1"), "copied")  # apart from the join below, which may then split a hot digest
     same = sketched.select("doc_id", "digest").join(copies, "digest").where(F.col("doc_id") != F.col("first"))
     same = common.stored(same.select(F.col("first").alias("a"), F.col("doc_id").alias("b")), "copies")
     texts = sketched.where(F.size("entries") > 0).select("doc_id", "n_kmers", "entries")
@@ -196,7 +197,8 @@ def _near(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     entries = texts.select("doc_id", "n_kmers", F.explode(F.array_distinct("entries")).alias("entry"))
     shared = entries.groupBy("entry").agg(F.count("*").alias("n")).where("n > 1").select("entry")
     groups = common.stored(entries.join(shared, "entry"), "groups")
-    members = common.stored(docs.join(groups.select("doc_id").distinct(), "doc_id", "left_semi"), "members")
+    wanted = common.stored(groups.select("doc_id").distinct(), "wanted")
+    members = common.stored(common.by_ids(docs, wanted, "left_semi"), "members")
     label = groups.select("doc_id", F.col("doc_id").alias("component")).distinct()
     tried = links = None
     while True:
