@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dxweave.llm import common
@@ -18,8 +18,13 @@ WORDS, SIMILARITY = 5, 0.8
 #: Entries of a sketch and k-mers in an entry.  A pair of similarity 0.8 shares none with probability
 #: (1 - 0.8**3)**16, about 1e-5.
 ENTRIES, PICKED = 16, 3
+#: Places of a bag: counts of a text's k-mers by hash.  What two bags differ by, no alignment can match.
+BAG = 128
+#: Heads of a group grow by this factor from round to round; documents of a group in one part of the last join.
+MORE_HEADS, BLOCK = 16, 512
 
 SCHEMA = "doc_id long, class_id long, kept boolean, n_kmers long"
+SKETCH = "doc_id long, digest binary, n_kmers long, entries array<long>, bag binary"
 _SEED = 0x5851F42D4C957F2D
 
 
@@ -80,6 +85,12 @@ def sketches(doc: np.ndarray, kmer: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def bags(doc: np.ndarray, kmer: np.ndarray, n: int) -> np.ndarray:
+    """How many k-mers of each of ``n`` documents fall on each place, up to 255."""
+    place = doc * BAG + (kmer % np.uint64(BAG)).astype(np.int64)
+    return np.minimum(np.bincount(place, minlength=n * BAG), 255).astype(np.uint8).reshape(n, BAG)
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = common.WordHashes((3,))
     for batch, texts in common.pieces(batches):
@@ -94,8 +105,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array(digests, pa.binary()),
             pa.array(counts.astype(np.int64)),
             pa.array([e if c else [] for e, c in zip(entries, counts)], pa.list_(pa.int64())),
+            pa.array([b.tobytes() for b in bags(doc, kmer, len(parts))], pa.binary()),
         ]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "n_kmers", "entries"])
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "n_kmers", "entries", "bag"])
 
 
 # ---- alignment -----------------------------------------------------------------------------
@@ -142,6 +154,21 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float) -> float:
     return matched / (n + m - matched)
 
 
+def _possible(similarity: float):
+    """Leaves out pairs whose bags differ by more k-mers than texts of that similarity leave unmatched."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n_a, n_b = (batch.column(i).to_numpy() for i in (2, 3))
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BAG).astype(np.int16) for i in (4, 5))
+            most = (n_a + n_b) * (1 - similarity) / (1 + similarity) + 1e-9
+            yield batch.select(["a", "b"]).filter(pa.array(np.abs(a - b).sum(axis=1) <= most))
+
+    return run
+
+
 def _verify(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = common.WordHashes((3,))
@@ -166,9 +193,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_
 
     Two texts are linked if an alignment matches at least ``similarity`` of their runs of five words; classes
     are what links connect.  Texts with the same words are one text from the start.  Candidates
-    share an entry of their sketches.  In every group that shares one, all are compared with one head, not with
-    each other: what links to it is in its class anyway.  Those outside its class get another head in
-    the next round, until a round links nothing new.
+    share an entry of their sketches.  In every group that shares one, all are compared with one head first, not with
+    each other: what links to it is in its class anyway.  Classes without a head get one in later rounds, more
+    in each; what is then left between different classes is compared pair by pair.  So every pair of
+    a group is in one class or was found too different.
 
     Texts without words (null, empty) stay alone.  Texts shorter than five words only equal their
     copies.  A null id has a null class and is kept.  Rows with the same id are one document that has
@@ -176,12 +204,12 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_
     """
     rows = common.rows(docs, doc_id, text)
     known = rows.where(F.col("doc_id").isNotNull())
-    sketched = common.stored(known.mapInArrow(_sketch, "doc_id long, digest binary, n_kmers long, entries array<long>"), "sketches")
+    sketched = common.stored(known.mapInArrow(_sketch, SKETCH), "sketches")
     copies = sketched.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     copies = common.stored(copies.where("n > 1"), "copied")  # apart from the join below, which may then split a hot digest
     same = sketched.select("doc_id", "digest").join(copies, "digest").where(F.col("doc_id") != F.col("first"))
     same = common.stored(same.select(F.col("first").alias("a"), F.col("doc_id").alias("b")), "copies")
-    texts = sketched.where(F.size("entries") > 0).select("doc_id", "n_kmers", "entries")
+    texts = sketched.where(F.size("entries") > 0).select("doc_id", "n_kmers", "entries", "bag")
     texts = texts.join(same.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_anti")
     links = same.union(_near(known, texts, similarity))
     label = components(links)
@@ -193,43 +221,85 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_
 
 
 def _near(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Links between different texts of the same group, round by round."""
+    """Links between different texts of the same group, round by round.
+
+    A head meets all others of its group at once, so no pair with it is left.  When all classes of a group but
+    one at most have had a head, pairs of documents that were no heads are left, and these are compared last.
+    """
     entries = texts.select("doc_id", "n_kmers", F.explode(F.array_distinct("entries")).alias("entry"))
     shared = entries.groupBy("entry").agg(F.count("*").alias("n")).where("n > 1").select("entry")
     groups = common.stored(entries.join(shared, "entry"), "groups")
     wanted = common.stored(groups.select("doc_id").distinct(), "wanted")
     members = common.stored(common.by_ids(docs, wanted, "left_semi"), "members")
-    label = groups.select("doc_id", F.col("doc_id").alias("component")).distinct()
-    tried = links = None
-    while True:
-        pairs = common.stored(_pairs(groups, label, tried, similarity), "pairs")
-        with_text = pairs.join(members.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    sizes = common.stored(texts.select("doc_id", "n_kmers", "bag").join(wanted, "doc_id", "left_semi").distinct(), "bags")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        b = sizes.select(F.col("doc_id").alias("b"), F.col("n_kmers").alias("n_b"), F.col("bag").alias("bag_b"))
+        a = sizes.select(F.col("doc_id").alias("a"), F.col("n_kmers").alias("n_a"), F.col("bag").alias("bag_a"))
+        possible = pairs.join(b, "b").join(a, "a").select("a", "b", "n_a", "n_b", "bag_a", "bag_b")
+        possible = common.stored(possible.mapInArrow(_possible(similarity), "a long, b long").distinct(), "possible")
+        with_text = possible.join(members.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
         with_text = with_text.join(members.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-        found = common.stored(with_text.select("a", "b", "text_a", "text_b").mapInArrow(_verify(similarity), "a long, b long"), "near")
-        links = found if links is None else links.union(found)
-        if not found.take(1):
-            return links
-        tried = pairs if tried is None else tried.union(pairs)
-        moved = components(links).withColumnRenamed("node", "doc_id")
-        label = groups.select("doc_id").distinct().join(moved, "doc_id", "left")
-        label = common.stored(label.select("doc_id", F.coalesce("component", "doc_id").alias("component")), "labels")
-
-
-def _pairs(groups: DataFrame, label: DataFrame, tried: DataFrame | None, similarity: float) -> DataFrame:
-    """In each group the smallest document outside the component that was head before, against all others of its class.
-
-    The first round takes the smallest document of a group.  Later rounds leave out those in its component, which
-    have been reached, and take the smallest of the others.  Lengths too different for the similarity
-    are left out: no alignment could match enough.
-    """
-    placed = groups.join(label, "doc_id")
-    if tried is not None:
-        first = placed.groupBy("entry").agg(F.min_by("component", "doc_id").alias("done"))
-        placed = placed.join(first, "entry").where(F.col("component") != F.col("done")).drop("done")
-    head = placed.groupBy("entry").agg(F.min(F.struct("doc_id", "n_kmers", "component")).alias("head"))
-    pairs = placed.join(head, "entry").where(
-        (F.col("component") != F.col("head.component"))
-        & (F.least("n_kmers", "head.n_kmers") >= F.greatest("n_kmers", "head.n_kmers") * similarity - 1e-9)
-    )
-    pairs = pairs.select(F.col("head.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
+        return common.stored(with_text.select("a", "b", "text_a", "text_b").mapInArrow(_verify(similarity), "a long, b long"), "near")
+
+    label = wanted.select("doc_id", F.col("doc_id").alias("component"))
+    tried = links = heads = None
+    number = 1
+    while True:
+        placed = groups.join(label, "doc_id")
+        headless = common.stored(_headless(placed, heads), "headless")
+        if not headless.take(1):
+            break
+        chosen = headless.where(F.pmod(F.xxhash64("entry", "head.component"), F.col("n")) < number) if heads is not None else headless.where("first")
+        chosen = common.stored(chosen.select("entry", "head"), "heads")
+        pairs = common.stored(_pairs(placed, chosen, tried, similarity), "pairs")
+        found = linked(pairs)
+        tried, heads, links = (x if old is None else old.union(x) for old, x in ((tried, pairs), (heads, chosen), (links, found)))
+        number *= MORE_HEADS
+        if found.take(1):
+            moved = components(links).withColumnRenamed("node", "doc_id")
+            label = wanted.join(moved, "doc_id", "left")
+            label = common.stored(label.select("doc_id", F.coalesce("component", "doc_id").alias("component")), "labels")
+    if heads is None:
+        return groups.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).limit(0)
+    rest = _rest(placed, heads)
+    return links.union(linked(common.stored(_rest_pairs(rest, tried, similarity), "pairs"))) if rest.take(1) else links
+
+
+def _headless(placed: DataFrame, heads: DataFrame | None) -> DataFrame:
+    """Classes of a group without a head, where there are two or more: their smallest document, their number, whether it is the first."""
+    of_class = placed.groupBy("entry", "component").agg(F.min(F.struct("doc_id", "n_kmers", "component")).alias("head"))
+    if heads is not None:
+        now = placed.select("entry", "doc_id", "component").join(heads.select("entry", F.col("head.doc_id").alias("doc_id")), ["entry", "doc_id"])
+        of_class = of_class.join(now.select("entry", "component").distinct(), ["entry", "component"], "left_anti")
+    counted = of_class.groupBy("entry").agg(F.count("*").alias("n"), F.min("head").alias("least")).where("n > 1")
+    return of_class.join(counted, "entry").select("entry", "head", "n", (F.col("head") == F.col("least")).alias("first"))
+
+
+def _alike(similarity: float, a: str, b: str) -> Column:
+    """Lengths too different for the similarity are left out: no alignment could match enough."""
+    return F.least(a, b) >= F.greatest(a, b) * similarity - 1e-9
+
+
+def _pairs(placed: DataFrame, chosen: DataFrame, tried: DataFrame | None, similarity: float) -> DataFrame:
+    """The heads of a group against all others that are not in their class; the smaller id comes first."""
+    pairs = placed.join(chosen, "entry").where((F.col("component") != F.col("head.component")) & _alike(similarity, "n_kmers", "head.n_kmers"))
+    pairs = pairs.select(F.least("head.doc_id", "doc_id").alias("a"), F.greatest("head.doc_id", "doc_id").alias("b")).distinct()
     return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+
+
+def _rest(placed: DataFrame, heads: DataFrame) -> DataFrame:
+    """What was no head, in groups where that is of different classes.  A repeated id is head with one length only."""
+    used = heads.select("entry", F.col("head.doc_id").alias("doc_id"), F.col("head.n_kmers").alias("n_kmers"))
+    rest = placed.join(used, ["entry", "doc_id", "n_kmers"], "left_anti")
+    mixed = rest.groupBy("entry").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    mixed = mixed.where("low < high").select("entry", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    return common.stored(rest.join(mixed, "entry"), "rest")
+
+
+def _rest_pairs(rest: DataFrame, tried: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of different classes in a group.  A large group is cut into blocks, which meet the whole group."""
+    left = rest.select("entry", F.col("doc_id").alias("a"), F.col("n_kmers").alias("n_a"), F.col("component").alias("c_a"), F.pmod(F.xxhash64("doc_id"), "blocks").alias("block"))
+    right = rest.select("entry", F.col("doc_id").alias("b"), F.col("n_kmers").alias("n_b"), F.col("component").alias("c_b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    pairs = left.join(right, ["entry", "block"]).where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _alike(similarity, "n_a", "n_b"))
+    return pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")

@@ -123,6 +123,35 @@ def test_near_duplicates_of_odd_rows(odd_docs, odd_rows, no_docs):
     assert near_duplicates.classes(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("heads", [4, 40])
+def test_near_duplicates_in_one_group(spark, heads):
+    """Near copies that link to none of many heads with smaller ids; the first round links nothing."""
+    rng = random.Random(heads)
+    rows = [words(rng, 60, 3000) for _ in range(heads)]
+    for size in (2, 3):
+        base = words(rng, 120, 3000).split()
+        rows += [" ".join([*base[: 7 + 9 * k], "new", *base[8 + 9 * k :]]) for k in range(size)]
+    chain = words(rng, 100, 5000).split()  # the ends are linked by the last only
+    steps = [" ".join(["old"] * k + chain[k:]) for k in (12, 6, 0)]
+    rows += [steps[0], steps[2], steps[1]]
+    rows = list(enumerate(rows))
+    docs = near_duplicates.common.rows(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text")
+    schema = "doc_id long, digest binary, n_kmers long, entries array<long>" + ", bag binary" * hasattr(near_duplicates, "BAG")
+    texts = docs.mapInArrow(near_duplicates._sketch, schema).selectExpr("*", "array(1L) as one").drop("entries").withColumnRenamed("one", "entries")
+    links = [tuple(x) for x in near_duplicates._near(docs, texts, 0.8).collect()]
+    expected = brute_classes(rows)
+    assert joined(links, range(len(rows))) == expected and len(set(expected.values())) == heads + 3
+
+
+def test_near_duplicates_that_were_no_heads(spark):
+    """Two classes that had their heads: their other documents are left to compare."""
+    placed = spark.createDataFrame([(9, i, 196, 2 - i % 2) for i in (1, 2, 3, 4)], "entry long, doc_id long, n_kmers long, component long")
+    heads = spark.createDataFrame([(9, (1, 196, 1)), (9, (2, 196, 2))], "entry long, head struct<doc_id:long,n_kmers:long,component:long>")
+    tried = spark.createDataFrame([(1, 2)], "a long, b long")
+    left = near_duplicates._rest_pairs(near_duplicates._rest(placed, heads), tried, 0.8)
+    assert [tuple(x) for x in left.collect()] == [(3, 4)]
+
+
 # -- repeated passages ----------------------------------------------------------------------
 
 
