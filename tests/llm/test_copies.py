@@ -306,6 +306,15 @@ def test_filter_keeps_every_level(spark, monkeypatch):
     assert (small.levels(keys)[~low] >= true[~low]).all() and (small.levels(keys)[low] == 0).mean() > 0.9
 
 
+def test_scores_do_not_depend_on_the_place_of_the_filter(spark, odd_docs, monkeypatch):
+    monkeypatch.setattr(language_model, "SEGMENT_BYTES", 700)
+    train = odd_docs.where("doc_id % 2 = 0 or doc_id = 10")
+    whole = language_model.score(odd_docs, train).collect()
+    monkeypatch.setattr(language_model, "MAX_FILTER_BYTES", 600)
+    parts = language_model.score(odd_docs, train).collect()
+    assert len(whole) > 40 and Counter(map(repr, parts)) == Counter(map(repr, whole))
+
+
 def test_model_says_more_than_single_words(spark):
     rng = random.Random(1)
     follow = {f"w{i}": [f"w{(i * 7 + k) % 50}" for k in range(3)] for i in range(50)}
