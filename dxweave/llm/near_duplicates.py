@@ -208,10 +208,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_
     copies = sketched.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     copies = common.stored(copies.where("n > 1"), "copied")  # apart from the join below, which may then split a hot digest
     same = sketched.select("doc_id", "digest").join(copies, "digest").where(F.col("doc_id") != F.col("first"))
-    same = common.stored(same.select(F.col("first").alias("a"), F.col("doc_id").alias("b")), "copies")
-    texts = sketched.where(F.size("entries") > 0).select("doc_id", "n_kmers", "entries", "bag")
-    texts = texts.join(same.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_anti")
-    links = same.union(_near(known, texts, similarity))
+    same = common.stored(same.select(F.col("first").alias("a"), F.col("doc_id").alias("b"), "digest"), "copies")
+    texts = sketched.where(F.size("entries") > 0).select("doc_id", "digest", "n_kmers", "entries", "bag")
+    # By id and text: a document with several texts may hold a copy and another text.
+    texts = texts.join(same.select(F.col("b").alias("doc_id"), "digest").distinct(), ["doc_id", "digest"], "left_anti").drop("digest")
+    links = same.select("a", "b").union(_near(known, texts, similarity))
     label = components(links)
     out = sketched.select("doc_id", "n_kmers").join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     out = out.select("doc_id", F.coalesce("component", "doc_id").alias("class_id"), "n_kmers")

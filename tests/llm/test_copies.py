@@ -152,6 +152,16 @@ def test_near_duplicates_that_were_no_heads(spark):
     assert [tuple(x) for x in left.collect()] == [(3, 4)]
 
 
+def test_near_duplicates_of_a_repeated_id(spark):
+    """An id with a copy and another text, which is a near copy of a third document."""
+    rng = random.Random(8)
+    copy, other = words(rng, 120, 3000), words(rng, 120, 3000)
+    rows = [(1, copy), (7, copy), (7, other), (9, other + " end"), (12, words(rng, 120, 3000))]
+    got = near_duplicates.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.class_id) for r in got) == Counter((i, c) for i, _ in rows for c in [brute_classes(rows)[i]])
+    assert {r.doc_id: r.class_id for r in got} == {1: 1, 7: 1, 9: 1, 12: 12}
+
+
 # -- repeated passages ----------------------------------------------------------------------
 
 
