@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dxweave import vocab as V
 from dxweave.functions import text as X
+from dxweave.session import materialize
 
 
 def record_codes(columns: Sequence[str], exclude_null_words: bool = False) -> Column:
@@ -110,8 +111,9 @@ def prevalence(
     none = F.lit(None).cast("string")
     marked = F.array_append(F.transform(items, lambda i: entry(i, False)), entry(none, True))
     counts = tagged.select(F.inline(marked)).groupBy("item", "total").agg(F.count("*").alias("n"))
-    records = F.max(F.when(F.col("total"), F.col("n"))).over(Window.partitionBy(F.lit(0)))
-    counts = counts.withColumn("records", records).filter(~F.col("total"))
+    counts = materialize(counts, "prevalence")
+    records = counts.where("total").agg(F.max("n").alias("records"))  # one row, which goes to the items
+    counts = counts.where(~F.col("total")).crossJoin(records)
     return counts.select(
         F.col("item").alias("ICD11_Code_Or_Group"),
         F.col("n").alias("Total_Occurrences"),

@@ -75,3 +75,12 @@ def test_prefix_groups_agree_with_expression(spark):
     joined = {r.code: r.label for r in T.prefix_groups(codes, table).collect()}
     direct = {r.code: r.g for r in codes.select("code", T.group_of(F.col("code"), V.CODE_GROUPS).alias("g")).collect()}
     assert joined == direct and direct["JA20.1"] == "妊娠期高血压疾病"
+
+
+def test_prevalence_keeps_items_in_their_partitions(spark):
+    df = spark.createDataFrame([(i, f"C{i}|C{i + 1}|C0") for i in range(40)], "record_id long, a string")
+    out = T.prevalence(df, ["a"])
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r[0]: r[1:] for r in out.collect()}
+    assert len(got) == 41 and got["C0"][:2] == (40, 40) and got["C1"][:2] == (2, 2) and got["C40"][:2] == (1, 1)
+    assert T.prevalence(df.limit(0), ["a"]).count() == 0
