@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dxweave.llm import byte_bpe, embeddings, language_model, near_duplicates, packing, quality, substrings, token_counts, toxicity, url_filters
+from dxweave.llm import byte_bpe, embeddings, filter_audit, language_model, near_duplicates, packing, quality, substrings, token_counts, toxicity, url_filters
 from dxweave.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_order_minhash": op2_order_minhash,
@@ -69,10 +73,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_lm_scoring": op10_lm_scoring,
+    "op13_filter_interaction_audit": op13_filter_interaction_audit,
 }
 
 ORACLES: dict[str, str] = {
     "op5_url_filters": url_filters.ORACLE,
     "op7_substring_dedup": substrings.ORACLE,
     "op9_embedding_dedup": embeddings.ORACLE,
+    "op13_filter_interaction_audit": filter_audit.ORACLE,
 }
