@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dxweave.llm import byte_bpe, embeddings, filter_audit, language_id, language_model, near_duplicates, packing, quality, substrings, token_counts, toxicity, url_filters
+from dxweave.llm import alignment, byte_bpe, embeddings, filter_audit, language_id, language_model, near_duplicates, packing, quality, substrings, token_counts, toxicity, url_filters
 from dxweave.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with remainder 2 are held out: the model never sees them."""
     docs, held_out = table(spark, sf_dir, "documents"), toxicity.in_part("doc_id", 4, 2)
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
     "op12_language_id": op12_language_id,
     "op13_filter_interaction_audit": op13_filter_interaction_audit,
 }
