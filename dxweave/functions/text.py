@@ -91,8 +91,8 @@ def split_pipe(c: Column) -> Column:
 
 
 def join_pipe(parts: Column) -> Column:
-    """Pipe-joined list; an empty list is null."""
-    return F.when(F.size(parts) > 0, F.array_join(parts, "|"))
+    """Pipe-joined list; an empty list is null.  The list is computed once."""
+    return _let(parts, lambda p: F.when(F.size(p) > 0, F.array_join(p, "|")))
 
 
 # -- splitting ----------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dxweave.functions import text as X
+from dxweave.session import materialize
 
 RESPONSE_SCHEMA = "destinationEntities array<struct<theCode:string,title:string,chapter:string>>"
 
@@ -28,109 +29,110 @@ def tokens(text: Column) -> Column:
     return F.sort_array(F.array_distinct(F.filter(words, lambda w: w != "")))
 
 
+#: Postings, and questions of a word, that meet in one join key at most: hot words are spread over blocks of both.
+BLOCK = 1 << 14
+
+
+def _in_order(exploded: DataFrame, key: list[str], entry: Column) -> DataFrame:
+    """One row per key with its words, the least frequent of the catalogue first."""
+    return exploded.groupBy(*key).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+
+
+def _blocks(n: str) -> Column:
+    return F.ceil(F.greatest(F.col(n), F.lit(1)) / BLOCK).cast("int")
+
+
+def _probe(questions: DataFrame, postings: DataFrame) -> DataFrame:
+    """(key, code, length, score) of entities that hold an asked word and no earlier word of the question.
+
+    ``questions`` is (key, words, word, df, qf[, least]), ``postings`` is (word, code, length, words, place, qf).  Words are in one
+    order on both sides, so a pair of a question and an entity comes out once, where their first common word meets, and with
+    all words at hand its score is exact.  A word's postings are cut into blocks and its questions into salts.
+    """
+    asked = questions.withColumn("salt", F.pmod(F.xxhash64("key"), _blocks("qf")).cast("int")).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), _blocks("df") - 1))
+    )
+    held = postings.withColumn("block", F.pmod(F.xxhash64("code"), _blocks("df")).cast("int")).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), _blocks("qf") - 1))
+    )
+    asked = asked.select("word", "block", "salt", "key", F.col("words").alias("asked"), F.col("least") if "least" in questions.columns else F.lit(0).alias("least"))
+    held = held.select("word", "block", "salt", "code", "length", "place", F.col("words").alias("held"))
+    met = asked.join(held, ["word", "block", "salt"]).filter(F.col("place") + F.col("least") <= F.col("length"))
+    met = met.withColumn("shared", F.array_intersect("asked", "held")).filter(F.get("shared", F.lit(0)) == F.col("word"))
+    return met.select("key", "code", "length", F.size("shared").alias("score"))
+
+
 def search(sub_terms: DataFrame, catalogue: DataFrame, keep: int = 5, hot: int = 1000) -> DataFrame:
     """The best entities of a catalogue for each sub-term, ranked from 1.
 
     ``catalogue`` is (code, title), one row per code.  An entity scores one point per
     distinct word it shares with the sub-term; shorter titles, then smaller codes, win
-    ties.  The result is exact, yet no frequent word is joined with everything that
-    contains it:
-
-    * Entities that share a rare word (in at most ``hot`` titles) come from an inverted
-      index of rare words; their frequent words are counted from the small arrays that
-      travel with them.
-    * An entity that shares frequent words only cannot score more than the number of
-      frequent words in the sub-term.  Only sub-terms whose list could still change look
-      further, and then by *sets* of frequent words: entities with the same set tie, so
-      each set is represented by its ``keep`` best.
-    """
-    entities = catalogue.select("code", tokens(F.col("title")).alias("words"))
-    # Words in more than ``hot`` titles: at most the words of all titles divided by
-    # ``hot``, one small array.
-    frequency = (
-        entities.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
-    )
-    frequent = frequency.filter(F.col("df") > hot).agg(F.sort_array(F.collect_set("word"))).scalar()
-    def divided(df: DataFrame, key: list[str]) -> DataFrame:
-        """Rare words as they are; frequent ones as numbers, and a short key for their set."""
-        common = F.array_intersect("words", "frequent")
-        return (
-            df.withColumn("frequent", frequent)
-            .select(*key, F.array_except("words", "frequent").alias("rare"), common.alias("shared"), "frequent")
-            .select(
-                *key,
-                "rare",
-                F.transform("shared", lambda w: F.array_position("frequent", w).cast("int")).alias("common"),
-                F.md5(F.array_join("shared", " ").cast("binary")).alias("set_key"),
-            )
-        )
-
-    described = divided(entities.withColumn("length", F.size("words")), ["code", "length"])
-    # Inside, a sub-term goes by its hash: texts may be long and are shuffled often.
-    asked = (
-        sub_terms.select("sub_term")
-        .filter(F.col("sub_term").isNotNull())
-        .distinct()
-        .select("sub_term", F.md5(F.col("sub_term").cast("binary")).alias("key"))
-    )
-    queries = divided(asked.select("key", tokens(F.col("sub_term")).alias("words")), ["key"])
-    order = [F.desc("score"), F.asc("length"), F.asc("code")]
+    ties.  The result is exact for any ``hot``.  Words of questions and entities stand in one order, rare ones of the catalogue first:
 
-    def best(df: DataFrame, key: str) -> DataFrame:
-        place = Window.partitionBy(key).orderBy(*order)
-        return df.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= keep)
+    * The words of a question whose titles are at most ``hot`` together are looked up whole.  The next word is looked up
+      in its ``hot`` longest titles only.  Both give entities with their exact scores, and the score of the
+      ``keep``-th is a lower bound for the list.
+    * With bound b and m words, an entity that could still enter the list has b words of the question, so its first common word is
+      among the first m - b + 1 words of the question and of its own n - b + 1.  Only those of the remaining words are
+      looked up, and a question whose remaining words are fewer than b is finished.
 
-    by_word = queries.select("key", F.col("common").alias("q"), F.explode("rare").alias("word")).join(
-        described.select("code", "length", F.col("common").alias("e"), F.explode("rare").alias("word")),
-        "word",
-    )
-    shared_rare = by_word.groupBy("key", "code", "length").agg(
-        (F.count("*") + F.max(F.size(F.array_intersect("q", "e")))).alias("score")
-    )
-    first = best(shared_rare, "key").drop("rank")
-
-    reached = first.groupBy("key").agg(F.count("*").alias("n"), F.min("score").alias("worst"))
-    undecided = (
-        queries.filter(F.size("common") > 0)
-        .select("key", "common", "set_key")
-        .join(reached, "key", "left")
-        .filter((F.coalesce("n", F.lit(0)) < keep) | (F.col("worst") <= F.size("common")))
+    Questions without a word of the catalogue have no row.
+    """
+    entities = catalogue.select("code", tokens(F.col("title")).alias("words"))
+    # Inside, a sub-term goes by a number: texts may be long and are shuffled often.
+    asked = materialize(
+        sub_terms.select("sub_term").filter(F.col("sub_term").isNotNull()).distinct().withColumn("key", F.monotonically_increasing_id()), "asked"
     )
-    # Few bytes that fan out: a fixed number of partitions keeps them from being coalesced,
-    # and everything up to the best entities of a set stays where the set is.
-    partitions = int(sub_terms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    asked_sets = (
-        undecided.select("set_key", "common")
-        .repartition(partitions, "set_key")
-        .groupBy("set_key")
-        .agg(F.any_value("common").alias("common"))
+    asked_words = asked.select("key", F.explode(tokens(F.col("sub_term"))).alias("word"))
+    entity_words = entities.select("code", F.explode("words").alias("word"))
+    # One row for each word of the catalogue that is asked for: a number, the titles and the questions that hold it.
+    known = entity_words.groupBy("word").agg(F.count("*").alias("df")).join(asked_words.groupBy("word").agg(F.count("*").alias("qf")), "word", "left")
+    known = materialize(known.na.fill(0, ["qf"]).withColumn("id", F.monotonically_increasing_id()), "words")
+    entry = F.struct("df", "id", "qf")
+    described = _in_order(entity_words.join(known, "word"), ["code"], entry)
+    placed = described.select(
+        "code", F.size("entries").alias("length"), F.col("entries")["id"].alias("words"), F.posexplode("entries").alias("place", "e")
     )
-    per_set = Window.partitionBy("e_key").orderBy("length", "code")
-    representatives = (
-        described.filter(F.size("common") > 0)
-        .select("code", "length", "common", F.col("set_key").alias("e_key"))
-        .withColumn("nth", F.row_number().over(per_set))
-        .filter(F.col("nth") <= keep)
+    # Words that nobody asks for have a place in the order but are not looked up.
+    postings = materialize(
+        placed.filter("e.qf > 0").select("code", "length", "words", "place", F.col("e.id").alias("word"), "e.df", "e.qf"), "postings"
     )
-    entity_sets = representatives.filter(F.col("nth") == 1)
-    overlap = (
-        asked_sets.select("set_key", F.explode("common").alias("word"))
-        .join(entity_sets.select("e_key", F.explode("common").alias("word")), "word")
-        .groupBy("set_key", "e_key")
-        .agg(F.count("*").alias("score"))
+    running = F.aggregate(
+        "entries",
+        F.struct(F.lit(0).cast("bigint").alias("titles"), F.lit(0).alias("n")),
+        lambda sum, e: F.struct(
+            (sum["titles"] + e["df"]).alias("titles"), (sum["n"] + (sum["titles"] + e["df"] <= hot).cast("int")).alias("n")
+        ),
     )
-    # Only the best sets can hold the best entities: each set has at least one.
-    nearest = Window.partitionBy("set_key").orderBy(F.desc("score"))
-    overlap = overlap.withColumn("nth", F.rank().over(nearest)).filter(F.col("nth") <= keep).drop("nth")
-    members = representatives.select("code", "length", "e_key")
-    by_set = best(overlap.join(members, "e_key"), "set_key").select("set_key", "code", "length", "score")
-    second = undecided.select("key", "set_key").join(by_set, "set_key").select("key", "code", "length", "score")
-
-    merged = first.unionByName(second).groupBy("key", "code", "length").agg(F.max("score").alias("score"))
-    return best(merged, "key").join(asked, "key").select(
-        "sub_term", "code", F.col("score").cast("bigint").alias("score"), "rank"
+    questions = materialize(
+        _in_order(asked_words.join(known, "word"), ["key"], entry).select(
+            "key", "entries", F.col("entries")["id"].alias("words"), F.size("entries").alias("m"), running["n"].alias("light")
+        ),
+        "questions",
     )
 
+    def looked_up(df: DataFrame, first: Column, n: Column) -> DataFrame:
+        more = [c for c in df.columns if c == "least"]
+        return df.select("key", "words", *more, F.inline(F.slice("entries", first + 1, F.greatest(n, F.lit(0))))).withColumnRenamed("id", "word")
+
+    def best(df: DataFrame) -> DataFrame:
+        place = Window.partitionBy("key").orderBy(F.desc("score"), F.asc("length"), F.asc("code"))
+        return df.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= keep)
+
+    longest = Window.partitionBy("word").orderBy(F.desc("length"), "code")
+    some = postings.withColumn("nth", F.row_number().over(longest)).filter(F.col("nth") <= hot).drop("nth")
+    light = _probe(looked_up(questions, F.lit(0), F.col("light")), postings)
+    bounded = F.least("df", F.lit(hot))
+    heavy = looked_up(questions.filter("light < m"), F.col("light"), F.lit(1)).withColumn("df", bounded)
+    next_word = _probe(heavy, some.withColumn("df", bounded))
+    first = materialize(best(light.unionByName(next_word)).drop("rank"), "candidates")
+    bounds = first.groupBy("key").agg(F.count("*").alias("n"), F.min("score").alias("worst"))
+    least = F.greatest(F.when(F.col("n") == keep, F.col("worst")).otherwise(0), F.lit(1))
+    undecided = questions.join(bounds, "key", "left").withColumn("least", least).filter(F.col("m") - F.col("light") >= F.col("least"))
+    second = _probe(looked_up(undecided, F.col("light"), F.col("m") - F.col("least") + 1 - F.col("light")), postings)
+    merged = first.unionByName(second).groupBy("key", "code").agg(F.any_value("length").alias("length"), F.max("score").alias("score"))
+    return best(merged).join(asked, "key").select("sub_term", "code", F.col("score").cast("bigint").alias("score"), "rank")
+
 
 def as_candidates(ranked: DataFrame, catalogue: DataFrame) -> DataFrame:
     """(sub_term, candidates) in the form the cascade takes; at most ``keep`` per row."""

@@ -3,7 +3,8 @@
 Order: cached result, exact rule, rule verdict, split into sub-terms; each sub-term:
 rule verdict, candidate search, selection.  The steps that need judgement are resolvers,
 functions from a table of distinct terms to a table of replies.  ``recorded`` serves
-replies from a table; a caller may pass one built on ``mapInPandas`` instead.
+replies from a table; a caller may pass one built on ``mapInPandas`` instead, best behind
+a ``ReplyLog``, which asks no question twice.
 
 Every term is looked up once, however often it occurs, and all lookups are joins with
 one row per key on the right, so no join multiplies rows.
@@ -20,25 +21,35 @@ from pyspark.sql import functions as F
 from dxweave import vocab as V
 from dxweave.functions import text as X
 from dxweave.operators import schema as S
+from dxweave.operators.dedup import one_per_key
 from dxweave.session import materialize
 
 Resolver = Callable[[DataFrame], DataFrame]
 
 
-def recorded(replies: DataFrame) -> Resolver:
-    """Resolver that serves (term, reply) rows recorded earlier, one per term."""
+def recorded(replies: DataFrame, order: str | None = None) -> Resolver:
+    """Resolver that serves (term, reply) rows recorded earlier.
+
+    Of several replies to a question the first by the column ``order`` counts, else the smallest.
+    """
 
     def serve(terms: DataFrame) -> DataFrame:
-        return replies
+        if order is None:
+            return replies
+        key = [c for c in terms.columns if c in replies.columns]
+        return one_per_key(replies, key, order).drop(order)
 
     serve.is_table = True
     return serve
 
 
 def _asked(resolver: Resolver, questions: DataFrame, purpose: str) -> DataFrame:
-    """The replies of a resolver.  What reads its input is asked once: its replies go to the shared folder."""
+    """The replies of a resolver, one for each question; of several the smallest.
+
+    What reads its input is asked once: its replies go to the shared folder.
+    """
     replies = resolver(questions)
-    return replies if getattr(resolver, "is_table", False) else materialize(replies, purpose)
+    return one_per_key(replies if getattr(resolver, "is_table", False) else materialize(replies, purpose), questions.columns)
 
 
 @dataclass(frozen=True)

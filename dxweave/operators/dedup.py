@@ -24,3 +24,14 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return _pick(df, keys, order, F.max_by)
+
+
+def one_per_key(df: DataFrame, key: Sequence[str], order: str | None = None) -> DataFrame:
+    """One whole row of each key: the first by ``order``, without an order the smallest."""
+    rest = [c for c in df.columns if c not in key]
+    if not rest:
+        return df.distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in rest])
+    chosen = F.min_by(row, order) if order else F.min(row)
+    picked = df.groupBy(*key).agg(chosen.alias("__row"))
+    return picked.select(*[F.col(c) if c in key else F.col("__row")[c].alias(c) for c in df.columns])

@@ -112,13 +112,12 @@ def prevalence(
     marked = F.array_append(F.transform(items, lambda i: entry(i, False)), entry(none, True))
     counts = tagged.select(F.inline(marked)).groupBy("item", "total").agg(F.count("*").alias("n"))
     counts = materialize(counts, "prevalence")
-    records = counts.where("total").agg(F.max("n").alias("records"))  # one row, which goes to the items
-    counts = counts.where(~F.col("total")).crossJoin(records)
-    return counts.select(
+    records = counts.where("total").agg(F.max("n")).scalar()
+    return counts.where(~F.col("total")).select(
         F.col("item").alias("ICD11_Code_Or_Group"),
         F.col("n").alias("Total_Occurrences"),
         F.col("n").alias("Patient_Count"),
-        X.percent_text(F.col("n") / F.col("records") * 100).alias("Prevalence"),
+        X.percent_text(F.col("n") / records * 100).alias("Prevalence"),
     )
 
 

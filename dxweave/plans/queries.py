@@ -20,13 +20,13 @@ from dxweave.operators import resume as R
 from dxweave.operators import schema as S
 from dxweave.operators import statistics as T
 from dxweave.operators import usage as U
-from dxweave.operators.dedup import first_per_key, last_per_key
+from dxweave.operators.dedup import first_per_key, last_per_key, one_per_key
 from dxweave.plans import bindings as B
 from dxweave.plans.audit import audit
 from dxweave.plans.cleaning import clean_table
 from dxweave.session import materialize, shared_dir
 from dxweave.sources import readers, writers
-from dxweave.streaming.incremental import run_incremental_coding
+from dxweave.streaming.incremental import run_incremental_coding, term_cache
 from dxweave.streaming.usage_stream import current_totals, run_usage_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -264,7 +264,7 @@ def cache_additions(spark, folder):
 def recorded_candidates(spark, folder):
     _, _, resolvers = B.cascade_inputs(spark, folder)
     words = B.table(spark, folder, "part").select(F.explode(F.split("p_name", " ")).alias("sub_term")).distinct()
-    found = words.join(resolvers.candidates(words), "sub_term")
+    found = words.join(one_per_key(resolvers.candidates(words), ["sub_term"]), "sub_term")
     rows = found.select("sub_term", F.posexplode("candidates").alias("pos", "c"))
     return rows.select("sub_term", (F.col("pos") + 1).alias("rank"), "c.code", "c.title", "c.chapter")
 
@@ -429,8 +429,8 @@ def incremental_coding(spark, folder):
     records.write.parquet(f"{out}/records")
     lines = rules.select(F.lit(0).alias("line"), "term", "code")
     key = K.cache_name("recorded", K.rule_set_version(lines).first()["version"])
-    cache.write.parquet(f"{out}/cache/{key}/batch=-1")
-    stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 4).parquet(f"{out}/records")
+    term_cache(f"{out}/cache", key).append(cache, -1)
+    stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 2).parquet(f"{out}/records")
     run_incremental_coding(
         stream, S.term_columns(records.columns), resolvers,
         out=f"{out}/coded", cache=f"{out}/cache", checkpoint=f"{out}/checkpoint", rules=rules, cache_key=key,

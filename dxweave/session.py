@@ -1,4 +1,4 @@
-"""Where shared scratch data goes."""
+"""Where shared scratch data goes, and the few folder operations that need no job."""
 
 from __future__ import annotations
 
@@ -23,3 +23,20 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that Spark reaches, sorted; none if it is not there."""
+    place, files = _folder(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(place)) if files.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this library wrote; nothing happens if it is not there."""
+    place, files = _folder(spark, path)
+    files.delete(place, True)

@@ -4,23 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from dxweave.operators.cascade import Resolvers, cache_additions, code_table
+from dxweave.operators.schema import terms_long
+from dxweave.sources.keyed import KeyedTable
 
 
-def read_cache(spark: SparkSession, path: str, before: int) -> DataFrame:
-    """(term, code) remembered by the batches before ``before``; none if nothing is stored yet."""
-    try:
-        stored = spark.read.schema("term string, code string, batch int").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        stored = spark.createDataFrame([], "term string, code string, batch int")
-    return stored.filter(F.col("batch") < before).select("term", "code")
+def term_cache(path: str, cache_key: str = "no_rules") -> KeyedTable:
+    """(term, code) remembered for one model and rule set (see ``cache_name``)."""
+    return KeyedTable(f"{path}/{cache_key}", ["term"])
 
 
 def run_incremental_coding(
@@ -35,21 +29,23 @@ def run_incremental_coding(
 ) -> StreamingQuery:
     """Code a stream of wide records.
 
-    ``cache`` holds a folder for each ``cache_key`` (see ``cache_name``): results of another model or rule
+    ``cache`` holds a keyed table for each ``cache_key`` (see ``cache_name``): results of another model or rule
     set are never used.  Resolvers are asked once for each open term of a batch: its results are stored, and
     the table and the additions to the cache are made from what is stored.
 
-    The streaming checkpoint remembers which files are done.  Batch ``n`` reads the terms
-    learnt by batches before it and overwrites its own folders, so running it again after
-    a failure changes nothing.
+    A batch reads the buckets of the cache to which its terms belong, not the cache; parts that batches
+    added are merged as they grow.  The streaming checkpoint remembers which files are done.  Batch ``n`` reads the
+    terms learnt by batches before it and replaces what it added itself, so running it again after a failure changes nothing.
     """
 
+    remembered = term_cache(cache, cache_key)
+
     def run(batch: DataFrame, number: int) -> None:
-        known = read_cache(batch.sparkSession, f"{cache}/{cache_key}", number)
         batch.persist()
+        known = remembered.lookup(terms_long(batch, columns).select("term"), number)
         coded_table, coded_terms = code_table(batch, columns, resolvers, known, rules, once=True)
         coded_table.write.mode("overwrite").parquet(f"{out}/batch={number}")
-        cache_additions(coded_terms).write.mode("overwrite").parquet(f"{cache}/{cache_key}/batch={number}")
+        remembered.append(cache_additions(coded_terms), number)
         batch.unpersist()
 
     return (

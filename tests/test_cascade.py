@@ -176,8 +176,8 @@ def test_resolvers_are_asked_once(spark, tmp_path):
     incremental.run_incremental_coding(stream, ["diagnosis1"], open_resolvers(), cache_key="k1", **where).awaitTermination()
     assert {r.diagnosis1_ICD11_Code for r in spark.read.parquet(where["out"]).collect()} == {"S1|S1|S1|S1"}
     assert {k: v.value for k, v in asked.items()} == {k: 2 * n for k, n in expected.items()}
-    assert incremental.read_cache(spark, where["cache"] + "/k1", 9).count() == 10
-    assert incremental.read_cache(spark, where["cache"] + "/k2", 9).count() == 0
+    assert incremental.term_cache(where["cache"], "k1").rows(spark, 9).count() == 10
+    assert incremental.term_cache(where["cache"], "k2").rows(spark, 9) is None
 
 
 def test_resume_and_merge(spark):
@@ -228,7 +228,7 @@ def test_incremental_coding_equals_batch(spark, tmp_path):
     got = {r.record_id: r.diagnosis1_ICD11_Code for r in spark.read.parquet(where["out"]).collect()}
     code = {t: known.get(t, c) for t, (c, _) in EXPECTED.items()}
     assert got == {i: "|".join(code[t] for t in cell.split("|") if code[t]) for i, cell in rows}
-    assert spark.read.parquet(where["cache"] + "/no_rules").groupBy("term").count().filter("count > 1").count() == 0
+    assert incremental.term_cache(where["cache"]).rows(spark).groupBy("term").count().filter("count > 1").count() == 0
 
 
 def test_sources_and_sinks(spark, tmp_path):
