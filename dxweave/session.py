@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,3 +41,10 @@ def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder that this library wrote; nothing happens if it is not there."""
     place, files = _folder(spark, path)
     files.delete(place, True)
+
+
+def known_to_workers(spark: SparkSession) -> None:
+    """Lets Python workers import this package also where only the driver's path holds it (local mode)."""
+    root, environment = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in environment.get("PYTHONPATH", "").split(":"):
+        environment["PYTHONPATH"] = ":".join(filter(None, (root, environment.get("PYTHONPATH"))))

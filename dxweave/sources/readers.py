@@ -1,7 +1,6 @@
 """File sources.
 
-Delimited tables are read as strings only.  ``multi_line`` keeps quoted line breaks but
-makes a file unsplittable: convert a large CSV to Parquet once and read that.
+Delimited tables are read as strings only.  ``multi_line`` keeps quoted line breaks; files are read in splits either way.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from dxweave import vocab as V
 from dxweave.functions import text as X
 from dxweave.operators.dedup import last_per_key
 from dxweave.operators.schema import with_row_ordinal
+from dxweave.sources.quoted import read_quoted
 
 
 def _csv(spark: SparkSession, header: bool, multi_line: bool):
@@ -34,11 +34,14 @@ def read_table(
 ) -> DataFrame:
     """All-string CSV with a header; the NA spellings of the dialect become null.
 
-    Quoted line breaks need ``multi_line``, which makes every file one task.
+    Quoted line breaks need ``multi_line``, which reads the files twice more (see ``sources.quoted``).
     ``ordinal`` names an extra column with the 0-based row number.
     """
-    df = _csv(spark, True, multi_line).csv(path)
-    if ordinal:
+    df = _csv(spark, True, multi_line).csv(path)  # with multi_line only asked for its column names
+    if multi_line:
+        names = df.columns
+        df = read_quoted(spark, path, names, True, ordinal or "__number").select(*([ordinal] if ordinal else []), *[f"`{c}`" for c in names])
+    elif ordinal:
         df = with_row_ordinal(df, ordinal)
     names = [c for c in df.columns if c != ordinal]
     return df.withColumns(
@@ -47,8 +50,7 @@ def read_table(
 
 
 def _two_columns(spark: SparkSession, path: str) -> DataFrame:
-    raw = _csv(spark, False, True).schema("term string, code string").csv(path)
-    return with_row_ordinal(raw, "line").select(
+    return read_quoted(spark, path, ["term", "code"], False, "line").select(
         "line",
         X.ws_trim(F.col("term")).alias("term"),
         X.ws_trim(F.col("code")).alias("code"),
