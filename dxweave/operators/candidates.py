@@ -30,7 +30,7 @@ def tokens(text: Column) -> Column:
 
 
 #: Postings, and questions of a word, that meet in one join key at most: hot words are spread over blocks of both.
-BLOCK = 1 << 14
+BLOCK = 1 << 10
 
 
 def _in_order(exploded: DataFrame, key: list[str], entry: Column) -> DataFrame:
@@ -57,9 +57,13 @@ def _probe(questions: DataFrame, postings: DataFrame) -> DataFrame:
     )
     asked = asked.select("word", "block", "salt", "key", F.col("words").alias("asked"), F.col("least") if "least" in questions.columns else F.lit(0).alias("least"))
     held = held.select("word", "block", "salt", "code", "length", "place", F.col("words").alias("held"))
-    met = asked.join(held, ["word", "block", "salt"]).filter(F.col("place") + F.col("least") <= F.col("length"))
-    met = met.withColumn("shared", F.array_intersect("asked", "held")).filter(F.get("shared", F.lit(0)) == F.col("word"))
-    return met.select("key", "code", "length", F.size("shared").alias("score"))
+    # Few bytes that fan out: a fixed number of partitions keeps them from being coalesced.
+    tasks = int(questions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = asked.repartition(tasks, "word", "block", "salt").join(held, ["word", "block", "salt"]).filter(F.col("place") + F.col("least") <= F.col("length"))
+    # A generator computes the common words once a pair; as a condition they would be computed for each use.
+    shared = met.select("key", "code", "length", "word", "least", F.explode(F.array(F.array_intersect("asked", "held"))).alias("shared"))
+    exact = shared.filter((F.size("shared") >= F.col("least")) & (F.get("shared", F.lit(0)) == F.col("word")))
+    return exact.select("key", "code", "length", F.size("shared").alias("score"))
 
 
 def search(sub_terms: DataFrame, catalogue: DataFrame, keep: int = 5, hot: int = 1000) -> DataFrame:
