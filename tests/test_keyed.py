@@ -11,6 +11,7 @@ from dxweave.operators import cascade as C
 from dxweave.operators.dedup import one_per_key
 from dxweave.operators.replies import ReplyLog
 from dxweave.session import children, remove
+from dxweave.sources import readers, writers
 from dxweave.sources.keyed import KeyedTable, Part
 
 
@@ -94,6 +95,32 @@ def test_remove_and_children(spark, tmp_path):
     assert children(spark, str(tmp_path / "x")) == []
 
 
+def test_log_index_covers_files_of_others(spark, tmp_path):
+    path = str(tmp_path / "log")
+    entries = spark.createDataFrame([("a", "1"), ("b", "2"), (None, "0")], "key string, value string")
+    writers.append_new(entries, path, "key")
+    spark.createDataFrame([('{"key": "c", "value": "3"}',), ("broken",), ('{"value": "4"}',)], "value string").coalesce(1).write.mode("append").text(path)
+    more = spark.createDataFrame([("a", "8"), ("c", "9"), ("d", "4"), ("d", "5")], entries.schema)
+    for _ in range(2):  # the second time nothing is new
+        writers.append_new(more, path, "key")
+        assert {(r.key, r.value) for r in readers.read_log(spark, path, "key").collect()} == {("a", "1"), ("b", "2"), ("c", "3"), ("d", "4")}
+    assert spark.read.text(path).count() == 6
+
+
+def test_an_append_reads_new_files_and_touched_buckets(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for n in range(3):
+        rows = spark.range(n * 100, n * 100 + 100).selectExpr("cast(id as string) key", "'x' value")
+        writers.append_new(rows, path, "key")
+    schema = spark.createDataFrame([], "key string").schema
+    index = writers._index_log(spark, path, schema)
+    assert index.rows(spark).count() == 300
+    assert sum(p.rows for p in index.parts(spark)) == 300
+    before = children(spark, f"{path}/_keys/files")
+    writers._index_log(spark, path, schema)
+    assert children(spark, f"{path}/_keys/files") == before  # no file is read twice
+
+
 def asking(folder, fail_at=None):
     """A resolver that notes every question in a file of its own, and fails once it comes to ``fail_at``."""
 
