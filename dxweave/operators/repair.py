@@ -19,9 +19,6 @@ from dxweave.operators import schema as S
 from dxweave.operators.dedup import first_per_key
 
 UNFILLED = "None"
-#: Shares into which the terms without a code are cut where rules are looked up.
-SALTS = 64
-
 
 def load_rules(rules: DataFrame, allow_empty_correct: bool = False) -> DataFrame:
     """The rules in force.  ``rules`` carries its line number as ``rule_no``."""
@@ -68,12 +65,40 @@ def slots(cells: DataFrame) -> DataFrame:
     ).filter(F.col("norm").isNotNull())
 
 
+#: Length of the pieces by which keywords are found; shorter keywords are pieces themselves.
+ANCHOR = 3
+
+
+def _pieces(text: Column) -> Column:
+    """All different pieces of ``text`` with 1 to ``ANCHOR`` characters."""
+
+    def of(size: Column) -> Column:
+        last = F.char_length(text) - size + 1
+        return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, size))).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.flatten(F.array(*[of(F.lit(n)) for n in range(1, ANCHOR + 1)])))
+
+
+def anchored(terms: DataFrame, keywords: DataFrame) -> DataFrame:
+    """(norm, keyword) for each keyword that may occur in a term: the term holds the keyword's rarest piece.
+
+    A term is cut once, whatever the lengths of the keywords.  Pieces of a keyword are as long as ``ANCHOR``,
+    those of a shorter one as long as it is; how rare they are is counted over all terms.
+    """
+    size = F.least(F.char_length("keyword"), F.lit(ANCHOR))
+    held = terms.select("norm").distinct().select("norm", F.explode(_pieces(F.col("norm"))).alias("piece"))
+    pieces = keywords.distinct().select("keyword", F.explode(F.filter(_pieces(F.col("keyword")), lambda p: F.char_length(p) == size)).alias("piece"))
+    counted = held.join(pieces.select("piece").distinct(), "piece").groupBy("piece").agg(F.count("*").alias("n"))
+    weighed = pieces.join(counted, "piece", "left").groupBy("keyword").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("rarest"))
+    anchors = weighed.filter("rarest.n > 0").select("keyword", F.col("rarest.piece").alias("piece"))
+    return held.join(anchors, "piece").select("norm", "keyword")
+
+
 def match_rules(keys: DataFrame, rules: DataFrame) -> DataFrame:
     """The rule for each (norm, code, column) that has one.
 
-    Both kinds of rules are equi-joins.  A ``contains`` rule meets a term through the
-    substrings of the term that are as long as one of the keywords for that code, so no
-    rule is ever compared with a term it shares nothing with.
+    Both kinds of rules are equi-joins.  A ``contains`` rule meets a term through the rarest piece of its
+    keyword, so no rule is ever compared with a term it shares nothing with.
     """
     missing = X.is_missing_code(F.col("code"))
     # A missing code answers to rules that name its spelling and to rules that name none.
@@ -90,39 +115,14 @@ def match_rules(keys: DataFrame, rules: DataFrame) -> DataFrame:
     rules = first_per_key(rules.select("mode", *fields), ["mode", "wrong_code", "keyword", "scope"], "rule_no")
     exact = rules.filter(F.col("mode") == "exact").select(*fields)
     contains = rules.filter(F.col("mode") == "contains").select(*fields)
-    lengths = contains.groupBy("wrong_code").agg(
-        F.collect_set(F.char_length("keyword")).alias("lengths")
-    )
-    # Every term without a code asks for the blank code, so that key is spread over salts.
-    blank = F.col("wrong_code") == ""
-    salts = F.when(blank, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    lengths = lengths.withColumn("salt", F.explode(salts))
-    salt = F.when(blank, F.pmod(F.xxhash64("norm"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
-    by_substring = (
-        by_code.withColumn("salt", salt)
-        .join(lengths, ["wrong_code", "salt"])
-        .drop("salt")
-        .withColumn("length", F.explode("lengths"))
-        .filter(F.char_length("norm") >= F.col("length"))
-        .withColumn(
-            "keyword",
-            F.explode(
-                F.array_distinct(
-                    F.transform(
-                        F.sequence(F.lit(1), F.char_length("norm") - F.col("length") + 1),
-                        lambda i: F.substring(F.col("norm"), i, F.col("length")),
-                    )
-                )
-            ),
-        )
-        .drop("lengths", "length")
-    )
+    found = anchored(keys, contains.select("keyword")).filter(F.contains("norm", "keyword"))
+    by_keyword = by_code.join(found, "norm")
     hits = (
         by_code.withColumn("keyword", F.col("norm"))
         .join(exact, ["wrong_code", "keyword"])
         .withColumn("rank", F.lit(0))
         .unionByName(
-            by_substring.join(contains, ["wrong_code", "keyword"]).withColumn("rank", F.lit(1))
+            by_keyword.join(contains, ["wrong_code", "keyword"]).withColumn("rank", F.lit(1))
         )
         .filter((F.col("scope") == "ALL") | (F.col("scope") == F.col("column")))
     )

@@ -138,6 +138,23 @@ def test_equal_rules_count_once(spark):
     assert [(r.term, r.new_code, r.rule_no) for r in changes] == [("t", "C5", 5)] * 3
 
 
+def test_keywords_are_found_by_their_rarest_piece(spark):
+    rng = random.Random(12)
+    terms = ["".join(rng.choices("abcdé你", [6, 4, 3, 1, 1, 1], k=rng.randrange(0, 12))) for _ in range(300)]
+    cut = [t[i : i + n] for t in terms[:80] for i, n in [(rng.randrange(len(t) + 1), rng.randrange(1, 9))] if t[i : i + n]]
+    keywords = sorted({*cut, "a", "é", "zz", "zzz", "abz", "你é", *terms[:20]} - {""})
+    norms = spark.createDataFrame([(t,) for t in terms + terms[:50]], "norm string")
+    for chosen in (keywords, [k for k in keywords if len(k) > 4], ["zzzz"], []):
+        asked = spark.createDataFrame([(k,) for k in chosen * 2], "keyword string")
+        found = {tuple(r) for r in R.anchored(norms, asked).collect()}
+        true = {(t, k) for t in terms for k in chosen if k in t}
+        assert true <= found
+        assert {(t, k) for t, k in found if k in t} == true
+        # As many as hold the rarest piece, however many lengths the keywords have.
+        cuts = {k: {k[i : i + min(3, len(k))] for i in range(len(k) - min(3, len(k)) + 1)} for k in chosen}
+        assert len(found) == sum(min(sum(p in t for t in set(terms)) for p in cuts[k]) for k in chosen)
+
+
 def test_samples(spark):
     df = spark.createDataFrame([(0, "胎盘血窦|贫血", "A|B", "贫血", "A"), (1, "甲", "A/B", None, None)], COLUMNS)
     cells = S.pair_cells(df, S.code_pairs(df.columns))
