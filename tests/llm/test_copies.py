@@ -325,6 +325,30 @@ def test_scores_do_not_depend_on_the_place_of_the_filter(spark, odd_docs, monkey
     assert len(whole) > 40 and Counter(map(repr, parts)) == Counter(map(repr, whole))
 
 
+@pytest.mark.parametrize("frequent", [1 << 17, 5])
+def test_scores_are_probabilities(spark, monkeypatch, frequent):
+    """All texts with at most two words of the vocabulary have no more than 1 together.
+
+    Rounding to a level takes at most half of a pair's probability, and as much again after a rare word: three times in these texts.
+    """
+    monkeypatch.setattr(language_model, "FREQUENT", frequent)
+    rng, vocabulary = random.Random(3), [f"w{i}" for i in range(25)]
+    train = spark.createDataFrame([(i, f"{rng.choice(vocabulary[: 1 + i % 25])} {rng.choice(vocabulary)}") for i in range(3000)], "doc_id long, text string")
+    texts = ["", *vocabulary, *(f"{a} {b}" for a in vocabulary for b in vocabulary)]
+    scored = language_model.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), train)
+    total = sum(10**r.score for r in scored.collect())
+    assert 0.9 * (1 / 8 if frequent > 5 else 1 / 64) < total <= 1.001
+
+
+def test_conditional_probabilities_add_up():
+    count = np.array([5.0, 3.0, 0.0, 1.0])  # of the pairs that begin with a word seen nine times
+    own, floor = np.array([20.0, 7.0, 4.0, 1.0]), 32 + 0.5 * 5
+    every = language_model.conditional(count, np.full(4, 9.0), own, floor)
+    unseen = language_model.conditional(np.zeros(1), np.full(1, 9.0), np.zeros(1), floor)
+    assert abs(every.sum() + unseen.sum() - 1) < 1e-12
+    assert np.allclose(language_model.conditional(count * 0, count * 0, own, floor), (own + 0.5) / floor)  # after an unseen word
+
+
 def test_model_says_more_than_single_words(spark):
     rng = random.Random(1)
     follow = {f"w{i}": [f"w{(i * 7 + k) % 50}" for k in range(3)] for i in range(50)}
