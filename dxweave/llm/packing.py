@@ -44,10 +44,11 @@ def _cache(path: str) -> tokens.Kept:
 
 
 def _ids(cache: tokens.Kept, path: str, parts: list[list[bytes]]) -> dict[bytes, bytes]:
-    """Ids, as bytes, of at least all chunks in ``parts``; the library encodes the new ones in one call."""
+    """Ids, as bytes, of at least all chunks in ``parts``; the library encodes the new ones together."""
     new = cache.missing(set().union(*parts))
-    found = tokens.library(path).encode_batch_fast([m.decode() for m in new], add_special_tokens=False)
-    cache.young.update((m, array("I", e.ids).tobytes()) for m, e in zip(new, found))
+    words, ids, sizes = tokens.encode_each(path, [m.decode() for m in new])
+    raw, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+    cache.young.update((w.encode(), raw[a:b]) for w, a, b in zip(words, [0, *ends], ends))
     return cache.young
 
 
