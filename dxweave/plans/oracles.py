@@ -481,6 +481,7 @@ ORACLES["usage_stream"] = f"{_CALLS} SELECT label, {_COUNTERS} FROM counted GROU
 ORACLES["csv_round_trip"] = """SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS row, lpad(CAST(p_partkey AS VARCHAR), 12, '0') AS part,
        CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN p_name || chr(10) || p_brand
             WHEN 2 THEN '"' || p_type || '", "' || p_name ELSE p_name END AS diagnosis1 FROM part"""
+ORACLES["kept_output"] = ORACLES["csv_round_trip"]
 _LAST_CODE = f"WITH {_BOOK}\nSELECT term, arg_max(code, line) AS code FROM book GROUP BY term"
 ORACLES["dictionary_file"] = _LAST_CODE
 ORACLES["rule_file"] = _LAST_CODE

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -450,6 +451,22 @@ def csv_round_trip(spark, folder):
     return readers.read_table(spark, path, multi_line=True, ordinal="row").select("row", "part", "diagnosis1")
 
 
+@query
+def kept_output(spark, folder):
+    """A second table for the same place is refused, and the first stays as it was."""
+    path = shared_dir(spark, "kept")
+    cells = B.csv_cells(spark, folder)
+    writers.write_table(cells, path, ["part"])
+    try:
+        writers.write_table(cells.select("part"), path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+    else:
+        raise AssertionError(f"{path} was written twice")
+    return readers.read_table(spark, path, multi_line=True, ordinal="row").select("row", "part", "diagnosis1")
+
+
 @query
 def dictionary_file(spark, folder):
     path = shared_dir(spark, "dictionary")
