@@ -30,7 +30,7 @@ _SPACE, _SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
 
 SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "base_failed boolean, probability double, kept boolean"
+    "base_failed boolean, kept boolean, probability double"
 )
 
 
@@ -247,8 +247,8 @@ def judge(
                 pa.array([_duplicate_lines(t) for t in texts], pa.int64()),
                 pa.array(v.repeated),
                 pa.array(v.failed),
-                pa.nulls(len(texts), pa.float64()) if v.probability is None else pa.array(v.probability),
                 pa.array(v.kept),
+                pa.nulls(len(texts), pa.float64()) if v.probability is None else pa.array(v.probability),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SCHEMA.split(", ")])
 
