@@ -43,17 +43,17 @@ def content(rng, rows, ends="\n"):
     return out.getvalue()
 
 
-@pytest.mark.parametrize("size", [7, 64, 1000])
-def test_any_split_gives_the_same_records(spark, tmp_path, size):
+@pytest.mark.parametrize("size, most", [(7, 12), (64, 60), (1000, 60)])
+def test_any_split_gives_the_same_records(spark, tmp_path, size, most):
     rng = random.Random(size)
-    for name, rows in (("b", 60), ("a", 25), ("c", 1)):
+    for name, rows in (("b", most), ("a", 5), ("c", 1)):
         (tmp_path / f"{name}.csv").write_bytes(("﻿" if name == "b" else "").encode() + content(rng, rows).encode())
     paths = [str(tmp_path / f"{n}.csv") for n in "abc"]
     expected = [tuple(r) for p in paths for r in one_task(spark, p).collect()]
     with SmallSplits(spark, size):
         names = one_task(spark, paths).columns
         got = quoted.read_quoted(spark, paths, names, True, "row").orderBy("row").collect()
-    assert [r.row for r in got] == list(range(86))
+    assert [r.row for r in got] == list(range(most + 6))
     assert [tuple(r)[1:] for r in got] == expected
 
 
