@@ -418,4 +418,5 @@ def legacy_cells(spark: SparkSession, folder: str) -> DataFrame:
         "p_partkey", F.when(key % 7 == 0, "社会因素").otherwise(F.col("cell")).alias(V.INDICATION_COLUMN)
     )
     complications = complication_cells(spark, folder).withColumnRenamed("cell", V.COMPLICATION_COLUMN)
-    return part.join(indications, "p_partkey").join(complications, "p_partkey")
+    # Few bytes that take long to clean: dealt out, as bytes alone would make a few tasks of them.
+    return part.join(indications, "p_partkey").join(complications, "p_partkey").repartition(TEXT_TASKS)
