@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dxweave import vocab as V
@@ -39,7 +39,7 @@ def recorded(replies: DataFrame, order: str | None = None) -> Resolver:
         key = [c for c in terms.columns if c in replies.columns]
         return one_per_key(replies, key, order).drop(order)
 
-    serve.is_table = True
+    serve.is_table = serve.is_recorded = True
     return serve
 
 
@@ -49,6 +49,8 @@ def _asked(resolver: Resolver, questions: DataFrame, purpose: str) -> DataFrame:
     What reads its input is asked once: its replies go to the shared folder.
     """
     replies = resolver(questions)
+    if getattr(resolver, "is_unique", False):
+        return replies
     return one_per_key(replies if getattr(resolver, "is_table", False) else materialize(replies, purpose), questions.columns)
 
 
@@ -65,6 +67,31 @@ class Resolvers:
     selections: Resolver | None = None
 
 
+def _stored(resolver: Resolver | None, purpose: str, *key: str) -> Resolver | None:
+    """A recorded resolver whose replies, one for each question, lie in the shared folder; others stay as they are."""
+    if not getattr(resolver, "is_recorded", False):
+        return resolver
+    # Recorded replies depend on the columns of the questions only.
+    nothing = SparkSession.active().createDataFrame([], ", ".join(f"{c} string" for c in key))
+    replies = materialize(one_per_key(resolver(nothing), key), purpose)
+
+    def serve(terms: DataFrame) -> DataFrame:
+        return replies
+
+    serve.is_table = serve.is_unique = True
+    return serve
+
+
+def stored(resolvers: Resolvers) -> Resolvers:
+    """``resolvers`` for many calls of ``code_terms``: recorded replies are reduced to one for each question now, not in each call."""
+    return Resolvers(
+        splits=_stored(resolvers.splits, "splits", "term"),
+        candidates=_stored(resolvers.candidates, "candidates", "sub_term"),
+        verdicts=_stored(resolvers.verdicts, "verdicts", "term"),
+        selections=_stored(resolvers.selections, "selections", "term", "sub_term"),
+    )
+
+
 def _column(df: DataFrame, name: str, key: str, column: str, new: str) -> DataFrame:
     return df.select(F.col(name).alias(key), F.col(column).alias(new))
 

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from dxweave.operators.cascade import Resolvers, cache_additions, code_table
+from dxweave.operators.cascade import Resolvers, cache_additions, code_table, stored
 from dxweave.operators.schema import terms_long
+from dxweave.session import materialize
 from dxweave.sources.keyed import KeyedTable
 
 
@@ -34,11 +35,14 @@ def run_incremental_coding(
     the table and the additions to the cache are made from what is stored.
 
     A batch reads the buckets of the cache to which its terms belong, not the cache; parts that batches
-    added are merged as they grow.  The streaming checkpoint remembers which files are done.  Batch ``n`` reads the
+    added are merged as they grow.  Rules and recorded replies are stored when the stream starts, so a batch does not derive them again.  The streaming checkpoint remembers which files are done.  Batch ``n`` reads the
     terms learnt by batches before it and replaces what it added itself, so running it again after a failure changes nothing.
     """
 
     remembered = term_cache(cache, cache_key)
+    # What every batch reads is computed once.
+    resolvers = stored(resolvers)
+    rules = None if rules is None else materialize(rules, "rules")
 
     def run(batch: DataFrame, number: int) -> None:
         batch.persist()
