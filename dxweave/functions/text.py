@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
+from itertools import product
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -60,8 +61,9 @@ def any_of(words: Sequence[str]) -> str:
 # The same characters as a class of ranges, which matches faster than a list.
 _WIDE_BLANKS = "\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 BLANK = f"[\t-\r\x1c- {_WIDE_BLANKS}]"
+_NOT_SPACE = f"\t-\r\x1c-\x1f{_WIDE_BLANKS}"
 # A run of blanks that is not already one space.
-_UNEVEN_BLANKS = f"[\t-\r\x1c-\x1f{_WIDE_BLANKS}]{BLANK}*| {BLANK}+"
+_UNEVEN_BLANKS = f"[{_NOT_SPACE}]{BLANK}*| {BLANK}+"
 
 
 # -- blanks, nulls, lists -----------------------------------------------------
@@ -71,6 +73,12 @@ def ws_trim(c: Column) -> Column:
     return F.trim(c, F.lit(BLANKS))
 
 
+def _trimmed(c: Column) -> Column:
+    """``ws_trim`` of a plain reference, which it names several times: most strings have no blank at their ends."""
+    blank = F.substring(c, 1, 1).isin(*BLANKS) | F.substring(c, -1, 1).isin(*BLANKS)
+    return F.when(blank, ws_trim(c)).otherwise(c)
+
+
 def null_if_in(c: Column, words: Sequence[str]) -> Column:
     """A cell that equals a placeholder exactly becomes null; nothing is trimmed first."""
     return F.when(~c.isin(*words), c)
@@ -86,8 +94,11 @@ def trimmed_nonempty(parts: Column) -> Column:
 
 
 def split_pipe(c: Column) -> Column:
-    """Pieces of a pipe list, trimmed, blank ones dropped."""
-    return trimmed_nonempty(F.split(nullish_to_empty(c), r"\|"))
+    """Pieces of a pipe list, trimmed, blank ones dropped; a cell that only says ``nan`` has none."""
+    cell = F.coalesce(c, F.lit(""))
+    nothing = cell.rlike(rf"\A{BLANK}*[nN][aA][nN]{BLANK}*\z")
+    pieces = F.filter(F.transform(F.split(cell, r"\|"), _trimmed), lambda p: p != "")
+    return F.when(nothing, F.array().cast("array<string>")).otherwise(pieces)
 
 
 def join_pipe(parts: Column) -> Column:
@@ -281,12 +292,24 @@ def is_usable_code(code: Column) -> Column:
 # -- normalisation and noise --------------------------------------------------
 
 
+# Finds all invisible characters and blanks but single spaces, and little else: ranges of what is left alone.
+_UNUSUAL = "[^ -~\u00a1-\u167f\u1681-\u1fff\u2070-\u2fff\u3001-\ufefe\uff00-\uffef]"
+_NAN = tuple("".join(w) for w in product("nN", "aA", "nN"))
+
+
+def _may_change(term: Column) -> Column:
+    """False for most terms that are normalised already: cheaper than to normalise them."""
+    first, last = F.substring(term, 1, 1), F.substring(term, -1, 1)
+    return term.rlike(_UNUSUAL) | term.contains("  ") | first.isin(*LEADING_NOISE) | last.isin(*TRAILING_NOISE) | term.isin(*_NAN)
+
+
 def normalize_trimmed(term: Column) -> Column:
     """``normalize_term`` for a term that is neither null nor has blanks at its ends."""
     text = F.when(F.lower(term) == "nan", F.lit("")).otherwise(term)
     visible = F.regexp_replace(text, f"[{INVISIBLE}]", "")
     single_spaced = F.regexp_replace(visible, _UNEVEN_BLANKS, " ")
-    return F.rtrim(F.ltrim(single_spaced, F.lit(LEADING_NOISE)), F.lit(TRAILING_NOISE))
+    changed = F.rtrim(F.ltrim(single_spaced, F.lit(LEADING_NOISE)), F.lit(TRAILING_NOISE))
+    return F.when(_may_change(term), changed).otherwise(term)
 
 
 def normalize_term(c: Column) -> Column:

@@ -43,7 +43,7 @@ def cell_flags(annotated: DataFrame) -> DataFrame:
 
     All flags of a cell are built as one array and exploded once: no shuffle, one scan.
     """
-    terms, codes, clean = F.col("terms"), F.col("codes"), F.col("clean")
+    n_terms, codes, clean = F.size("judged"), F.col("codes"), F.col("clean")
     nothing, empty = F.lit(None), F.lit("")
     none = F.array().cast(
         "array<struct<issue_type:string,detail:string,term_value:string,normalized_term:string,"
@@ -63,7 +63,7 @@ def cell_flags(annotated: DataFrame) -> DataFrame:
     clean_terms = F.array_join(F.transform(clean, lambda e: e["term"]), "|")
     code_text = F.array_join(codes, "|")
     early = F.when(
-        F.col("prefiltered") & (F.size(terms) > 0), noise(F.col("judged"), 0, lambda e: empty)
+        F.col("prefiltered") & (n_terms > 0), noise(F.col("judged"), 0, lambda e: empty)
     ).when(~F.col("prefiltered"), noise(F.col("judged"), 1, lambda e: F.get(codes, e["at"])))
     lengths = F.concat(
         F.lit("terms="), F.size(clean).cast("string"), F.lit(", codes="), F.size(codes).cast("string")
@@ -74,7 +74,7 @@ def cell_flags(annotated: DataFrame) -> DataFrame:
             F.array(_flag("MISSING_CODE", F.lit(V.DETAIL_MISSING_CODE), clean_terms, nothing, empty, 1, 0)),
         )
         .when(
-            (F.size(terms) == 0) & (F.size(codes) > 0),
+            (n_terms == 0) & (F.size(codes) > 0),
             F.array(_flag("MISSING_TERM", F.lit(V.DETAIL_MISSING_TERM), empty, nothing, code_text, 1, 0)),
         )
         .when(
@@ -173,12 +173,17 @@ class Inspection:
 def all_flags(cells: DataFrame, mode: str = "asof", chunk_records: int = 1 << 20) -> DataFrame:
     """Every flag of the input with the columns that order them.
 
-    The annotated cells are written once to the shared folder; every kind of flag reads them from there.
+    The judged cells are written once to the shared folder; every kind of flag reads them from there.
     """
-    return _flags_of(materialize(P.annotate_cells(cells), "annotated"), mode, chunk_records)
+    return flags_of(stored_cells(cells), mode, chunk_records)
 
 
-def _flags_of(annotated: DataFrame, mode: str, chunk_records: int) -> DataFrame:
+def stored_cells(cells: DataFrame) -> DataFrame:
+    """Annotated cells, of which the terms with their judgement and the codes lie in the shared folder."""
+    return P.lined_up(materialize(P.judge_cells(cells).drop("terms"), "judged"))
+
+
+def flags_of(annotated: DataFrame, mode: str = "asof", chunk_records: int = 1 << 20) -> DataFrame:
     pairs = P.cell_pairs(annotated)
     return (
         cell_flags(annotated)
@@ -188,7 +193,8 @@ def _flags_of(annotated: DataFrame, mode: str, chunk_records: int) -> DataFrame:
 
 
 def ordered_flags(flags: DataFrame) -> DataFrame:
-    return flags.orderBy(*FLAG_ORDER).select(*FLAG_COLUMNS)
+    """The flags in order.  They are stored first: a sort reads its input twice, to find its borders and to sort."""
+    return materialize(flags, "flags").orderBy(*FLAG_ORDER).select(*FLAG_COLUMNS)
 
 
 def flag_summary(flags: DataFrame) -> DataFrame:
@@ -231,8 +237,8 @@ def write_template(template: DataFrame, path: str) -> None:
 
 def inspect(cells: DataFrame, mode: str = "asof", chunk_records: int = 1 << 20) -> Inspection:
     """The whole inspection of a pair-cell relation (``schema.pair_cells``)."""
-    annotated = materialize(P.annotate_cells(cells), "annotated")
-    flags = _flags_of(annotated, mode, chunk_records)
+    annotated = stored_cells(cells)
+    flags = flags_of(annotated, mode, chunk_records)
     pairs = P.cell_pairs(annotated)
     return Inspection(
         flags=flags,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dxweave import vocab as V
 from dxweave.functions import text as X
+from dxweave.session import materialize
 
 PLACE = ("record_id", "col_ord", "pos")
 
@@ -33,12 +34,12 @@ def ranked(n: Column, first: Column, value: Column) -> Column:
 
 
 def annotate_cells(cells: DataFrame) -> DataFrame:
-    """Judge the terms of each cell and line them up with its codes.
+    """Judge the terms of each cell and line them up with its codes."""
+    return lined_up(judge_cells(cells))
 
-    Adds ``judged`` (term, norm, reason, at), ``clean`` (the entries that are not noise),
-    ``aligned`` (the entries that face a code, null when the cell cannot be paired) and
-    ``prefiltered``: noise is removed up front only where the raw lengths differ.
-    """
+
+def judge_cells(cells: DataFrame) -> DataFrame:
+    """Adds ``judged`` (term, norm, reason, at): the costly part, worth keeping where cells are read more than once."""
     norms = F.transform(
         F.col("terms"),
         lambda t, i: F.struct(t.alias("term"), X.normalize_trimmed(t).alias("norm"), i.alias("at")),
@@ -52,14 +53,19 @@ def annotate_cells(cells: DataFrame) -> DataFrame:
             e["at"].alias("at"),
         ),
     )
+    return cells.withColumn("norms", norms).withColumn("judged", judged).drop("norms")
+
+
+def lined_up(judged: DataFrame) -> DataFrame:
+    """Adds ``clean`` (the judged entries that are not noise), ``aligned`` (the entries that face a code,
+    null when the cell cannot be paired) and ``prefiltered``: noise is removed up front only where
+    the raw lengths differ.
+    """
     return (
-        cells.withColumn("norms", norms)
-        .withColumn("judged", judged)
-        .drop("norms")
-        .withColumns(
+        judged.withColumns(
             {
                 "clean": F.filter(F.col("judged"), lambda e: e["reason"].isNull()),
-                "prefiltered": F.size("terms") != F.size("codes"),
+                "prefiltered": F.size("judged") != F.size("codes"),
             }
         )
         .withColumn(
@@ -92,6 +98,43 @@ def usable_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.filter(F.col("reason").isNull() & X.is_usable_code(F.col("code")))
 
 
+#: Records of a chunk in which a place is one number.
+CHUNK_BITS = 20
+_COLUMN_BITS, _POS_BITS = 16, 27
+
+
+def _chunk() -> Column:
+    return F.shiftright(F.col("record_id").cast("bigint"), CHUNK_BITS)
+
+
+def _packed_place() -> Column:
+    """The place as one number that orders places within a chunk; records without an id are a chunk of their own."""
+    record = F.coalesce(F.col("record_id").cast("bigint"), F.lit(0).cast("bigint")).bitwiseAND(F.lit((1 << CHUNK_BITS) - 1))
+    column, pos = F.col("col_ord").cast("bigint"), F.col("pos").cast("bigint")
+    packed = F.shiftleft(record, _COLUMN_BITS + _POS_BITS) + F.shiftleft(column, _POS_BITS) + pos
+    fits = column.between(0, (1 << _COLUMN_BITS) - 1) & pos.between(0, (1 << _POS_BITS) - 1)
+    return F.when(fits, packed).otherwise(F.raise_error(F.lit("a record of more columns, or a cell of more terms, than a place has room for")).cast("bigint"))
+
+
+def _unpacked(chunk: Column, packed: Column, types: dict[str, str]) -> Column:
+    record = F.shiftleft(chunk, CHUNK_BITS) + F.shiftright(packed, _COLUMN_BITS + _POS_BITS)
+    column = F.shiftright(packed, _POS_BITS).bitwiseAND(F.lit((1 << _COLUMN_BITS) - 1))
+    values = zip(PLACE, (record, column, packed.bitwiseAND(F.lit((1 << _POS_BITS) - 1))), strict=True)
+    return F.struct(*[value.cast(types[name]).alias(name) for name, value in values])
+
+
+def _counted(pairs: DataFrame, *keys: str) -> DataFrame:
+    """(keys, n, first): how often each key occurs and its first place.
+
+    A struct in an aggregate means sorting all rows. Numbers are aggregated by hash, so places are compared as
+    numbers within chunks of records and as structs between chunks.
+    """
+    types = dict(pairs.dtypes)
+    in_chunks = pairs.groupBy(*keys, _chunk().alias("__chunk")).agg(F.count("*").alias("n"), F.min(_packed_place()).alias("at"))
+    first = _unpacked(F.col("__chunk"), F.col("at"), types)
+    return in_chunks.groupBy(*keys).agg(F.sum("n").alias("n"), F.min(first).alias("first"))
+
+
 # -- frequencies --------------------------------------------------------------
 
 
@@ -143,13 +186,9 @@ def majority(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Returns ``(codes, winners)``: ``codes`` (norm, code, n, first) and ``winners`` (norm,
     n_codes, major_code, major_n, term_first, display).  Raw pairs are reduced once, to
-    (term, spelling, code) counts; everything else works on those.
+    (term, spelling, code) counts, kept in the shared folder; everything else works on those.
     """
-    fine = (
-        usable_pairs(pairs)
-        .groupBy("norm", "code", "term")
-        .agg(F.count("*").alias("n"), F.min(place()).alias("first"))
-    )
+    fine = materialize(_counted(usable_pairs(pairs), "norm", "code", "term"), "counted")
     total = [F.sum("n").alias("n"), F.min("first").alias("first")]
     codes = fine.groupBy("norm", "code").agg(*total)
     spellings = fine.groupBy("norm", "term").agg(*total)
@@ -170,11 +209,7 @@ def majority(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def global_recommendation(pairs: DataFrame) -> DataFrame:
     """(norm, recommended_code, recommended_code_frequency) over the whole input."""
-    codes = (
-        usable_pairs(pairs)
-        .groupBy("norm", "code")
-        .agg(F.count("*").alias("n"), F.min(place()).alias("first"))
-    )
+    codes = _counted(usable_pairs(pairs), "norm", "code")
     top = codes.groupBy("norm").agg(
         F.max(ranked(F.col("n"), F.col("first"), F.col("code"))).alias("top")
     )
@@ -187,6 +222,9 @@ def global_recommendation(pairs: DataFrame) -> DataFrame:
 
 # -- the most common code so far ----------------------------------------------
 
+#: Pairs that a task of the second pass sorts, about; a term's pairs of one chunk stay together.
+PAIRS_PER_TASK = 1 << 19
+
 
 def running_recommendation(pairs: DataFrame, chunk_records: int = 1 << 20) -> DataFrame:
     """Adds to each pair without a usable code the most common usable code of the same
@@ -204,17 +242,23 @@ def running_recommendation(pairs: DataFrame, chunk_records: int = 1 << 20) -> Da
             "usable": X.is_usable_code(F.col("code")),
         }
     )
-    counts = judged.groupBy("norm", "chunk", "code").agg(
-        F.count("*").alias("here"),
-        F.min(place()).alias("first_here"),
-        F.max("usable").alias("usable"),
+    counts = _counted(judged, "norm", "chunk", "code").select(
+        "norm", "chunk", "code", F.col("n").alias("here"), F.col("first").alias("first_here"),
+        X.is_usable_code(F.col("code")).alias("usable"),
     )
     so_far = Window.partitionBy("norm", "code").orderBy("chunk").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    history = counts.withColumns(
-        {"upto": F.sum("here").over(so_far), "first": F.min("first_here").over(so_far)}
+    history = materialize(
+        counts.withColumns(
+            {"upto": F.sum("here").over(so_far), "first": F.min("first_here").over(so_far)}
+        ),
+        "history",
     )
+    # As many tasks as keep what a task sorts at a bounded number of pairs.
+    spark = pairs.sparkSession
+    n = history.agg(F.sum("here")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // PAIRS_PER_TASK))
     # Two kinds of rows open a chunk: the past of each code that occurs in it, and the
     # winner over all earlier chunks, whose code need not occur in it.
     past = history.filter(F.col("usable") & (F.col("upto") > F.col("here"))).select(
@@ -232,7 +276,6 @@ def running_recommendation(pairs: DataFrame, chunk_records: int = 1 << 20) -> Da
     details = judged.select(
         "norm", "chunk", "code",
         F.when(F.col("usable"), F.lit(1).cast("bigint")).alias("weight"),
-        F.when(F.col("usable"), place()).alias("first"),
         place().alias("at"),
         F.when(
             ~F.col("usable"), F.struct("uuid", "admission_date", "column", "term", "code")
@@ -241,14 +284,14 @@ def running_recommendation(pairs: DataFrame, chunk_records: int = 1 << 20) -> Da
     everything = (
         details.unionByName(past, allowMissingColumns=True)
         .unionByName(winner, allowMissingColumns=True)
-        .repartition("norm", "chunk")
+        .repartition(tasks, "norm", "chunk")
     )
     upto_now = (Window.unboundedPreceding, Window.currentRow)
     by_code = Window.partitionBy("norm", "chunk", "code").orderBy("at").rowsBetween(*upto_now)
     in_chunk = Window.partitionBy("norm", "chunk").orderBy("at").rowsBetween(*upto_now)
     candidate = F.when(
         F.col("weight").isNotNull(),
-        ranked(F.sum("weight").over(by_code), F.min("first").over(by_code), F.col("code")),
+        ranked(F.sum("weight").over(by_code), F.min(F.coalesce("first", "at")).over(by_code), F.col("code")),
     ).otherwise(F.col("best"))
     answered = (
         everything.withColumn("candidate", candidate)

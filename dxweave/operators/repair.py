@@ -17,6 +17,7 @@ from dxweave.functions import text as X
 from dxweave.operators import pairs as P
 from dxweave.operators import schema as S
 from dxweave.operators.dedup import first_per_key
+from dxweave.session import materialize
 
 UNFILLED = "None"
 
@@ -43,9 +44,8 @@ def load_rules(rules: DataFrame, allow_empty_correct: bool = False) -> DataFrame
     return valid.drop("enabled")
 
 
-def slots(cells: DataFrame) -> DataFrame:
-    """Places a rule can act on: aligned pairs, and the terms of cells without codes."""
-    annotated = P.annotate_cells(cells)
+def slots(annotated: DataFrame) -> DataFrame:
+    """Places a rule can act on in annotated cells: aligned pairs, and the terms of cells without codes."""
     paired = F.transform(
         F.arrays_zip("aligned", "codes"),
         lambda z: F.struct(
@@ -135,9 +135,18 @@ def match_rules(keys: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def rule_changes(cells: DataFrame, rules: DataFrame) -> DataFrame:
-    """The repair report: one row per changed code."""
-    places = slots(cells)
-    matched = match_rules(places.select("norm", "code", "column"), rules)
+    """The repair report: one row per changed code.
+
+    Places are written to the shared folder once; the rules are matched with what is different among them and their matches
+    written too, so that places are not shuffled where few matches reach them.
+    """
+    return changes_of(slots(P.annotate_cells(cells)), rules)
+
+
+def changes_of(places: DataFrame, rules: DataFrame) -> DataFrame:
+    places = materialize(places, "places")
+    keys = materialize(places.select("norm", "code", "column").distinct(), "keys")
+    matched = materialize(match_rules(keys, rules), "matched")
     changed = places.join(matched, ["norm", "code", "column"]).filter(F.col("code") != F.col("new_code"))
     return changed.select(
         "record_id", "col_ord", "column", "pos", "term",
@@ -180,35 +189,35 @@ def apply_changes(
         # projection redefines would mean the new column.
         judged = F.transform(
             X.split_pipe(F.col(term_column)),
-            lambda t: F.struct(t.alias("term"), X.noise_reason(X.normalize_term(t)).isNull().alias("ok")),
+            lambda t: F.struct(t.alias("term"), X.noise_reason(X.normalize_trimmed(t)).isNull().alias("ok")),
         )
         mine = F.filter(F.col("__changes"), lambda e: e["col_ord"] == i)
-        out = out.withColumns(
-            {
-                "__judged": judged,
-                "__old": X.split_pipe(F.col(code_column)),
-                "__hit": F.coalesce(F.size(mine) > 0, F.lit(False)),
-            }
-        )
+        hit = F.coalesce(F.size(mine) > 0, F.lit(False))
+
+        def rewritten(old: Column, clean: Column) -> Column:
+            unfilled = F.transform(clean, lambda e: F.lit(UNFILLED))
+            return _replaced(F.when(F.size(old) > 0, old).otherwise(unfilled), i)
+
+        if not drop_noise:
+            # Cells without a change are left alone, and nothing is computed for them.
+            clean = F.filter(judged, lambda e: e["ok"])
+            codes = X.let(X.split_pipe(F.col(code_column)), lambda old: X.join_pipe(rewritten(old, clean)))
+            out = out.withColumn(code_column, F.when(hit, codes).otherwise(F.col(code_column)))
+            continue
+        out = out.withColumns({"__judged": judged, "__old": X.split_pipe(F.col(code_column)), "__hit": hit})
         out = out.withColumn("__clean", F.filter("__judged", lambda e: e["ok"]))
-        unfilled = F.transform("__clean", lambda e: F.lit(UNFILLED))
-        base = F.when(F.size("__old") > 0, F.col("__old")).otherwise(unfilled)
         out = out.withColumn(
-            "__new", F.when(F.col("__hit"), _replaced(base, i)).otherwise(F.col("__old"))
+            "__new", F.when(F.col("__hit"), rewritten(F.col("__old"), F.col("__clean"))).otherwise(F.col("__old"))
         )
-        codes, terms = X.join_pipe(F.col("__new")), F.col(term_column)
-        if drop_noise:
-            facing = F.filter(F.arrays_zip("__judged", "__new"), lambda z: z["__judged"]["ok"])
-            equal = F.size("__judged") == F.size("__old")
-            clean_fits = (F.size("__old") == 0) | (F.size("__clean") == F.size("__old"))
-            codes = F.when(
-                equal, X.join_pipe(F.transform(facing, lambda z: z["__new"]))
-            ).otherwise(codes)
-            terms = F.when(
-                equal | clean_fits, X.join_pipe(F.transform("__clean", lambda e: e["term"]))
-            ).otherwise(terms)
-        else:
-            codes = F.when(F.col("__hit"), codes).otherwise(F.col(code_column))
+        facing = F.filter(F.arrays_zip("__judged", "__new"), lambda z: z["__judged"]["ok"])
+        equal = F.size("__judged") == F.size("__old")
+        clean_fits = (F.size("__old") == 0) | (F.size("__clean") == F.size("__old"))
+        codes = F.when(
+            equal, X.join_pipe(F.transform(facing, lambda z: z["__new"]))
+        ).otherwise(X.join_pipe(F.col("__new")))
+        terms = F.when(
+            equal | clean_fits, X.join_pipe(F.transform("__clean", lambda e: e["term"]))
+        ).otherwise(F.col(term_column))
         out = out.withColumns({"__codes": codes, "__terms": terms})
         out = out.withColumns({term_column: F.col("__terms"), code_column: F.col("__codes")})
         out = out.drop("__judged", "__old", "__hit", "__clean", "__new", "__codes", "__terms")

@@ -19,18 +19,20 @@ def numbered_rules(template: DataFrame) -> DataFrame:
 def audit(df: DataFrame, id_column: str = "record_id", mode: str = "global") -> tuple[DataFrame, list[int]]:
     """Apply the rules each inspection recommends until one changes nothing.
 
-    Returns the repaired table and the number of changes per round.  Every round is
-    written to the shared folder, so the plan does not grow with the rounds.  If a set of
+    Returns the repaired table and the number of changes per round.  The input and every round are
+    written to the shared folder, so the plan does not grow with the rounds, and the cells of a round
+    are judged once for its flags and its changes.  If a set of
     changes comes again, rules undo each other and no round would be the last: an error.
     """
     changes_per_round: list[int] = []
     seen: set[tuple] = set()
     pairs = S.code_pairs(df.columns)
+    df = materialize(df, "audited")
     while True:
-        cells = S.pair_cells(df, pairs, id_column)
-        template = materialize(I.rule_template(I.all_flags(cells, mode)), "template")
+        annotated = I.stored_cells(S.pair_cells(df, pairs, id_column))
+        template = materialize(I.rule_template(I.flags_of(annotated, mode)), "template")
         rules = R.load_rules(numbered_rules(template))
-        changes = materialize(R.rule_changes(cells, rules), "changes")
+        changes = materialize(R.changes_of(R.slots(annotated), rules), "changes")
         row = F.xxhash64("record_id", "col_ord", "pos", "old_code", "new_code").cast("decimal(38,0)")
         n, mark = changes.agg(F.count("*"), F.sum(row)).first()
         changes_per_round.append(n)
