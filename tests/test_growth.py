@@ -49,7 +49,6 @@ def test_first_places_are_aggregated_by_hash(spark, tmp_path):
 def test_tasks_of_the_second_pass_grow_with_the_pairs(spark, tmp_path, monkeypatch):
     pairs = P.cell_pairs(P.annotate_cells(_cells(spark, tmp_path)[0]))
     monkeypatch.setattr(P, "PAIRS_PER_TASK", 1)
-    monkeypatch.setattr(spark.conf, "get", lambda key, *a: "2")
     few = P.running_recommendation(pairs)
     assert re.search(r"hashpartitioning\(norm#\d+, chunk#\d+L?, 11\), REPARTITION_BY_NUM", _plan(few))
 
