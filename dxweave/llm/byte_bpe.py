@@ -28,25 +28,30 @@ LONG = 48
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-#: One step: the pair of minimum rank that is leftmost merges, the token after it goes.  A word without a pair
-#: to merge comes out once more with step -1 and is done.
+#: Of every word its ids in order, and the bytes they stand for.  One step: the pair of minimum rank that is leftmost merges.  A word is one row with its ids in order; its pairs become rows for the
+#: join with the merge table only, and a hash aggregate finds the first.  A word without a pair to merge comes out once more and is done.
 _SHORT = """
-WITH RECURSIVE t(word, pos, id, step) AS (
-  SELECT word, pos, id, 0 FROM words WHERE NOT long
+WITH RECURSIVE s(word, ids, done) AS (
+  SELECT word, ids, false FROM short
   UNION ALL
-  SELECT word, pos, if(pos = spot, rank, id), if(spot IS NULL, -1, step + 1) FROM (
-    SELECT n.*, m.rank, min(m.rank * 4294967296 + n.pos) OVER (PARTITION BY n.word) % 4294967296 AS spot
-    FROM (
-      SELECT word, pos, id, step, id * 4294967296 + lead(id) OVER w AS pair, lag(pos) OVER w AS prev
-      FROM t WHERE step >= 0 WINDOW w AS (PARTITION BY word ORDER BY pos)
-    ) n LEFT JOIN merges m ON n.pair = m.pair
-  ) WHERE spot IS NULL OR prev IS DISTINCT FROM spot
-)"""
-
-#: The same for long words; of a safe pair all occurrences merge at once, in runs like aaaa every second one.
+  SELECT s.word, if(best IS NULL, ids, ids[:best % 4294967296 - 1] || [best // 4294967296] || ids[best % 4294967296 + 2:]), best IS NULL
+  FROM s LEFT JOIN (
+    SELECT word, min(m.rank * 4294967296 + n.pos) AS best FROM (
+      SELECT word, unnest(ids[:-2]) * 4294967296 + unnest(ids[2:]) AS pair, unnest(range(1, len(ids))) AS pos FROM s WHERE NOT done
+    ) n JOIN merges m ON n.pair = m.pair GROUP BY word
+  ) USING (word) WHERE NOT done
+), t AS (
+  SELECT word, unnest(range(len(ids))) AS pos, unnest(ids) AS id FROM s WHERE done
+), bytes AS (
+  SELECT word, string_agg(hex, '' ORDER BY pos) AS hex FROM t JOIN vocabulary USING (id) GROUP BY word
+)
+SELECT word, array_to_string(ids, ' '), unhex(hex) FROM s JOIN bytes USING (word) WHERE done
+"""
+
+#: The same for long words, with a row for each token; of a safe pair all occurrences merge at once, in runs like aaaa every second one.
 _LONG = """
 WITH RECURSIVE t(word, pos, id, step) AS (
-  SELECT word, pos, id, 0 FROM words WHERE long
+  SELECT word, pos, id, 0 FROM words
   UNION ALL
   SELECT word, pos, if(taken, rank, id), if(best IS NULL, -1, step + 1) FROM (
     SELECT *, coalesce(lag(taken) OVER (PARTITION BY word ORDER BY pos), false) AS eaten FROM (
@@ -64,10 +69,7 @@ WITH RECURSIVE t(word, pos, id, step) AS (
       )
     )
   ) WHERE NOT eaten
-)"""
-
-#: Of every word its ids in order, and the bytes they stand for.
-_RESULT = """
+)
 SELECT word, string_agg(id, ' ' ORDER BY pos) AS ids, unhex(string_agg(hex, '' ORDER BY pos)) AS decoded
 FROM t JOIN vocabulary USING (id) WHERE step < 0
 GROUP BY word
@@ -104,17 +106,15 @@ class Encoder:
         sizes = np.array([len(r) for r in raw], np.int64)
         starts = np.cumsum(sizes) - sizes
         word = np.repeat(np.arange(len(raw)), sizes)
-        self._table(
-            "words",
-            word=word.astype(np.int32),
-            pos=(np.arange(len(word)) - starts[word]).astype(np.int32),
-            id=self.single[np.frombuffer(b"".join(raw), np.uint8)],
-            long=sizes[word] > LONG,
-        )
+        ids = self.single[np.frombuffer(b"".join(raw), np.uint8)]
         out = [("", b"")] * len(words)
-        for query in (_SHORT, _LONG) if (sizes > LONG).any() else (_SHORT,):
-            for i, ids, decoded in self.db.execute(query + _RESULT).fetchall():
-                out[i] = ids, decoded
+        short, long = (sizes > 0) & (sizes <= LONG), sizes[word] > LONG
+        lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(sizes[short])).astype(np.int32), ids[short[word]])
+        self._table("short", word=np.flatnonzero(short).astype(np.int32), ids=lists)
+        self._table("words", word=word[long].astype(np.int32), pos=(np.arange(len(word)) - starts[word])[long].astype(np.int32), id=ids[long])
+        for query in (_SHORT, _LONG) if long.any() else (_SHORT,):
+            for i, listed, decoded in self.db.execute(query).fetchall():
+                out[i] = listed, decoded
         return out
 
     def chunks(self, parts: list[list[str]]) -> tuple[dict[str, tuple[str, bytes]], dict[str, tuple[str, bytes]]]:

@@ -39,6 +39,18 @@ def test_token_counts(odd_docs, odd_rows, no_docs):
     assert token_counts.count_tokens(no_docs).count() == 0
 
 
+def test_short_words_without_windows():
+    """A word is one row in the query of short words, whose steps sort nothing; lengths around the border to long words."""
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public.path("byte_bpe_50k.tiktoken"), "rb"))}
+    library = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(17)
+    given = ["a", "aa", "aaa" * 15, "é", "🙂"] + ["".join(rng.choices("aeinorst", k=n)) for n in range(1, byte_bpe.LONG + 9)]
+    encoder = byte_bpe.Encoder(public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+    expected = [(" ".join(map(str, library.encode_ordinary(w))), w.encode()) for w in given]
+    assert encoder.words(given) == expected and " OVER " not in byte_bpe._SHORT
+    assert encoder.words(given[-3:]) == expected[-3:] and encoder.words(["", "a"]) == [("", b""), expected[0]]
+
+
 def test_byte_bpe(odd_docs, odd_rows, no_docs):
     path = public.path("byte_bpe_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
