@@ -6,6 +6,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_samples import words
 
@@ -200,6 +201,18 @@ def test_substrings(spark, copied, odd_rows, monkeypatch, small):
     assert texts == {n: (i, t if not gone else kept.decode()) for n, ((i, t), (_, _, gone, _, kept)) in enumerate(zip(rows, expected))}
 
 
+def test_windows_hold_no_words_they_are_not_asked_for():
+    rows = pa.table({"doc_id": [2, 1], "text": ["a b c d e", "c d e f"]})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as writer:
+        writer.write_table(rows)
+    known = substrings.common.WordHashes((11, 12))
+    bare, full = (substrings._windows(sink.getvalue(), known, 1, 0, 3, keep=keep) for keep in (False, True))
+    assert bare.parts == [] and [len(p) for p in full.parts] == [5, 4]
+    assert bare.low.tolist() == full.low.tolist() and bare.several.sum() == 1
+    assert [h.itemsize for h in known.hashes] == [8, 8]  # as numbers, not as objects
+
+
 def test_no_substrings(no_docs, spark):
     assert substrings.report(no_docs).count() == 0
     none = spark.createDataFrame([(None, None), (1, None)], "doc_id long, text string")
