@@ -22,6 +22,10 @@ ENTRIES, PICKED = 16, 3
 BAG = 128
 #: Heads of a group grow by this factor from round to round; documents of a group in one part of the last join.
 MORE_HEADS, BLOCK = 16, 512
+#: Groups up to this size compare all their classes; larger ones are cut by rare k-mers first.
+FEW = 16
+#: Pairs that a task aligns, about.
+PAIRS_PER_TASK = 1 << 10
 
 SCHEMA = "doc_id long, class_id long, kept boolean, n_kmers long"
 SKETCH = "doc_id long, digest binary, n_kmers long, entries array<long>, bag binary"
@@ -172,14 +176,13 @@ def _possible(similarity: float):
 def _verify(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = common.WordHashes((3,))
-        last: tuple[bytes, np.ndarray] = (b"", np.zeros(0, np.uint64))
-        for batch in batches:
+        for batch, b in common.pieces(batches, 3):
             known.trim()
-            keep = []
-            for a, b in zip(*(common.text_bytes(batch.column(i)) for i in (2, 3))):
-                if a != last[0]:  # rows of a head come one after the other
-                    last = a, kmers([a.split()], known)[1]
-                keep.append(aligned(last[1], kmers([b.split()], known)[1], similarity) >= similarity)
+            a = common.text_bytes(batch.column(2))
+            place = {t: i for i, t in enumerate(dict.fromkeys(a + b))}  # a text is cut once, whatever the number of its pairs
+            doc, kmer = kmers([t.split() for t in place], known)
+            own = np.split(kmer, np.searchsorted(doc, np.arange(1, len(place))))
+            keep = [aligned(own[place[x]], own[place[y]], similarity) >= similarity for x, y in zip(a, b)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -194,9 +197,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_
     Two texts are linked if an alignment matches at least ``similarity`` of their runs of five words; classes
     are what links connect.  Texts with the same words are one text from the start.  Candidates
     share an entry of their sketches.  In every group that shares one, all are compared with one head first, not with
-    each other: what links to it is in its class anyway.  Classes without a head get one in later rounds, more
-    in each; what is then left between different classes is compared pair by pair.  So every pair of
-    a group is in one class or was found too different.
+    each other: what links to it is in its class anyway.  Large groups that still hold several classes are replaced by
+    groups that share one of their documents' rarest k-mers, which no pair of that similarity can do without.  Classes
+    without a head get one in later rounds, more in each; what is then left between different classes is compared pair by
+    pair.  So every pair of a group is in one class, was found too different, or has too few k-mers in common.
 
     Texts without words (null, empty) stay alone.  Texts shorter than five words only equal their
     copies.  A null id has a null class and is kept.  Rows with the same id are one document that has
@@ -224,8 +228,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_
 def _near(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Links between different texts of the same group, round by round.
 
-    A head meets all others of its group at once, so no pair with it is left.  When all classes of a group but
-    one at most have had a head, pairs of documents that were no heads are left, and these are compared last.
+    A head meets all others of its group at once, so no pair with it is left.  After one head large groups of several classes
+    give way to those of ``_by_rare_kmers``.  When all classes of a group but one at most have had a head, pairs of documents that
+    were no heads are left, and these are compared last.
     """
     entries = texts.select("doc_id", "n_kmers", F.explode(F.array_distinct("entries")).alias("entry"))
     shared = entries.groupBy("entry").agg(F.count("*").alias("n")).where("n > 1").select("entry")
@@ -241,32 +246,83 @@ def _near(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
         possible = common.stored(possible.mapInArrow(_possible(similarity), "a long, b long").distinct(), "possible")
         with_text = possible.join(members.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
         with_text = with_text.join(members.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+        # Aligning takes long for few bytes, so tasks follow the number of pairs; a head's pairs may be in many.
+        tasks = max(1, -(-possible.count() // PAIRS_PER_TASK))
+        with_text = with_text.repartition(tasks, F.col("a"), F.pmod(F.xxhash64("b"), F.lit(tasks))).sortWithinPartitions("a")
         return common.stored(with_text.select("a", "b", "text_a", "text_b").mapInArrow(_verify(similarity), "a long, b long"), "near")
 
+    def labels(links: DataFrame) -> DataFrame:
+        moved = wanted.join(components(links).withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        return common.stored(moved.select("doc_id", F.coalesce("component", "doc_id").alias("component")), "labels")
+
     label = wanted.select("doc_id", F.col("doc_id").alias("component"))
-    tried = links = heads = None
+    placed = groups.join(label, "doc_id")
+    heads = common.stored(_headless(placed, None).where("first").select("entry", "head"), "heads")
+    tried = common.stored(_pairs(placed, heads, None, similarity), "pairs")
+    links = linked(tried)
+    label = labels(links) if links.take(1) else label
+    few, crowded = _mixed(groups.join(label, "doc_id"))
+    if crowded.take(1):
+        groups = common.stored(few.union(_by_rare_kmers(common.by_ids(members, crowded, "left_semi"), similarity)), "groups")
+    else:
+        groups = few
+    heads = heads.join(few.select("entry").distinct(), "entry", "left_semi")
     number = 1
     while True:
         placed = groups.join(label, "doc_id")
         headless = common.stored(_headless(placed, heads), "headless")
         if not headless.take(1):
             break
-        chosen = headless.where(F.pmod(F.xxhash64("entry", "head.component"), F.col("n")) < number) if heads is not None else headless.where("first")
+        chosen = headless.where(F.pmod(F.xxhash64("entry", "head.component"), F.col("n")) < number) if number > 1 else headless.where("first")
         chosen = common.stored(chosen.select("entry", "head"), "heads")
         pairs = common.stored(_pairs(placed, chosen, tried, similarity), "pairs")
         found = linked(pairs)
-        tried, heads, links = (x if old is None else old.union(x) for old, x in ((tried, pairs), (heads, chosen), (links, found)))
+        tried, heads, links = tried.union(pairs), heads.union(chosen), links.union(found)
         number *= MORE_HEADS
         if found.take(1):
-            moved = components(links).withColumnRenamed("node", "doc_id")
-            label = wanted.join(moved, "doc_id", "left")
-            label = common.stored(label.select("doc_id", F.coalesce("component", "doc_id").alias("component")), "labels")
-    if heads is None:
-        return groups.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).limit(0)
+            label = labels(links)
     rest = _rest(placed, heads)
     return links.union(linked(common.stored(_rest_pairs(rest, tried, similarity), "pairs"))) if rest.take(1) else links
 
 
+def _mixed(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of groups with more than one class the rows of small ones, and the documents of large ones."""
+    mixed = placed.groupBy("entry").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    rows = common.stored(placed.join(mixed.where("low < high").select("entry", "n"), "entry").select("entry", "doc_id", "n_kmers", "n"), "mixed")
+    crowded = common.stored(rows.where(F.col("n") > FEW).select("doc_id").distinct(), "crowded")
+    return rows.where(F.col("n") <= FEW).drop("n"), crowded
+
+
+def _labelled_kmers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known = common.WordHashes((3,))
+    for batch, texts in common.pieces(batches):
+        known.trim()
+        doc, kmer = kmers([t.split() for t in texts], known)
+        ends = np.searchsorted(doc, np.arange(len(texts) + 1)).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(labelled(doc, kmer).view(np.int64)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends).astype(np.int64)), lists], names=["doc_id", "n_kmers", "kmers"])
+
+
+def _by_rare_kmers(members: DataFrame, similarity: float) -> DataFrame:
+    """``entry, doc_id, n_kmers`` of groups that share one of the rarest k-mers of a document.
+
+    Of n k-mers at least ``similarity * n`` are matched in a pair of that similarity, so with all k-mers in one order the pair has a
+    common one among the first n minus that, plus one, of both documents.  Rare ones come first, so a passage that many texts hold
+    makes no group of texts that are different otherwise.
+    """
+    texts = members.select("doc_id", "text").mapInArrow(_labelled_kmers, "doc_id long, n_kmers long, kmers array<long>")
+    texts = common.stored(texts.where("n_kmers > 0").withColumn("row", F.monotonically_increasing_id()), "kmers")
+    each = texts.select("row", F.explode("kmers").alias("entry"))
+    shared = each.groupBy("entry").agg(F.count("*").alias("n")).where("n > 1")
+    held = each.join(shared, "entry").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("n", "entry"))).alias("held"))
+    # K-mers of one text only come before all others and make no group.
+    first = F.col("n_kmers") - F.ceil(F.col("n_kmers") * similarity - 1e-6) + 1 - (F.col("n_kmers") - F.size("held"))
+    kept = F.slice("held", 1, F.greatest(first, F.lit(0)).cast("int"))
+    rows = texts.select("row", "doc_id", "n_kmers").join(held, "row").select(F.explode(kept["entry"]).alias("entry"), "doc_id", "n_kmers").distinct()
+    several = rows.groupBy("entry").agg(F.count("*").alias("n")).where("n > 1").select("entry")
+    return rows.join(several, "entry").select("entry", "doc_id", "n_kmers")
+
+
 def _headless(placed: DataFrame, heads: DataFrame | None) -> DataFrame:
     """Classes of a group without a head, where there are two or more: their smallest document, their number, whether it is the first."""
     of_class = placed.groupBy("entry", "component").agg(F.min(F.struct("doc_id", "n_kmers", "component")).alias("head"))

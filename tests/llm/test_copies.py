@@ -144,6 +144,28 @@ def test_near_duplicates_in_one_group(spark, heads):
     assert joined(links, range(len(rows))) == expected and len(set(expected.values())) == heads + 3
 
 
+def test_pairs_of_a_common_passage_grow_with_the_texts(spark, monkeypatch):
+    """Texts of one group that share a passage only: most are never compared, and the near copies among them are found."""
+    rng = random.Random(21)
+    shared, tested = words(rng, 40, 3000), []
+    rows = [f"{words(rng, 40, 9000)} {shared} {words(rng, 40, 9000)}" for _ in range(300)]
+    rows += [t + " end" for t in rows[100:110]] + [t.replace(shared, shared[:-20] + "x y z") for t in rows[200:210]]
+    rows = list(enumerate(rows))
+    stored = near_duplicates.common.stored
+
+    def counted(df, purpose):
+        out = stored(df, purpose)
+        tested.append(out.count() if purpose == "pairs" else 0)
+        return out
+
+    docs = near_duplicates.common.rows(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text")
+    texts = docs.mapInArrow(near_duplicates._sketch, near_duplicates.SKETCH).selectExpr("*", "array(1L) as one").drop("entries").withColumnRenamed("one", "entries")
+    monkeypatch.setattr(near_duplicates.common, "stored", counted)
+    links = [tuple(x) for x in near_duplicates._near(docs, texts, 0.8).collect()]
+    assert joined(links, range(len(rows))) == brute_classes(rows)
+    assert len({min(x) for x in links}) >= 20 and sum(tested) < 4 * len(rows)
+
+
 def test_near_duplicates_that_were_no_heads(spark):
     """Two classes that had their heads: their other documents are left to compare."""
     placed = spark.createDataFrame([(9, i, 196, 2 - i % 2) for i in (1, 2, 3, 4)], "entry long, doc_id long, n_kmers long, component long")
